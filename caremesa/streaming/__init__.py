@@ -1,0 +1,4 @@
+"""No streaming operator is in scope: every source table is a batch table.
+
+The folder marks the layout only; see the README for what is left out.
+"""
