@@ -160,7 +160,7 @@ class DerivedTables:
 
     def build_hospital_specialty(self, _) -> DataFrame:
         return self.raw("part").groupBy("p_type").count().selectExpr(
-            "ascii(p_type) as SpecialtyID", "p_type as SpecialtyCode", "initcap(p_type) as SpecialtyName"
+            "ascii(p_type) as SpecialtyID", "p_type as SpecialtyCode", "concat('Specialty ', p_type) as SpecialtyName"
         )
 
     def build_hospital_provider(self, _) -> DataFrame:
