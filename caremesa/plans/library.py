@@ -48,7 +48,7 @@ def _hospital_totals(tables: Tables, name: str) -> DataFrame:
 
 def hospital_ranking(tables: Tables, as_of=None) -> DataFrame:
     """Q02"""
-    ranked = F.rank().over(Window.orderBy(_desc("TotalEncounters")))
+    ranked = F.rank().over(Window.orderBy(_desc("TotalEncounters"))).cast("bigint")
     return _hospital_totals(tables, "TotalEncounters").withColumn("HospitalRank", ranked).orderBy("HospitalRank")
 
 
@@ -59,7 +59,7 @@ def top_providers_per_hospital(tables: Tables, as_of=None, top: int = 3) -> Data
         kpis.provider_productivity(tables)
         .select(
             "HospitalID", "HospitalName", "ProviderID", "ProviderName", "ProviderType", "TotalEncounters",
-            F.row_number().over(order).alias("ProviderRank"),
+            F.row_number().over(order).cast("bigint").alias("ProviderRank"),
         )
         .where(c("ProviderRank") <= top)
         .orderBy("HospitalName", "ProviderRank")
@@ -159,7 +159,7 @@ def payer_denial_ranking(tables: Tables, as_of=None) -> DataFrame:
         F.sum("DeniedClaims").alias("DeniedClaims"),
         F.sum("DeniedChargeAmount").cast("decimal(38,2)").alias("DeniedChargeAmount"),
     )
-    ranked = F.rank().over(Window.orderBy(_desc("DeniedChargeAmount")))
+    ranked = F.rank().over(Window.orderBy(_desc("DeniedChargeAmount"))).cast("bigint")
     return payers.withColumn("PayerDenialRank", ranked).orderBy("PayerDenialRank")
 
 
@@ -236,7 +236,7 @@ def department_no_show_ranking(tables: Tables, as_of=None) -> DataFrame:
         F.sum("NoShowVisits").alias("NoShowVisits"),
         percent(F.sum("NoShowVisits"), F.sum("TotalVirtualVisits"), RATE).alias("NoShowRatePercent"),
     )
-    ranked = F.dense_rank().over(Window.orderBy(_desc("NoShowRatePercent")))
+    ranked = F.dense_rank().over(Window.orderBy(_desc("NoShowRatePercent"))).cast("bigint")
     return departments.withColumn("NoShowRank", ranked).orderBy("NoShowRank")
 
 
@@ -259,7 +259,7 @@ def model_accuracy_ranking(tables: Tables, as_of=None) -> DataFrame:
         kpis.model_performance(tables)
         .select(
             "ModelCode", "ModelName", "VersionNumber", "TotalPredictions", "AccuracyPercent", "PrecisionPercent",
-            "RecallPercent", F.rank().over(Window.orderBy(_desc("AccuracyPercent"))).alias("AccuracyRank"),
+            "RecallPercent", F.rank().over(Window.orderBy(_desc("AccuracyPercent"))).cast("bigint").alias("AccuracyRank"),
         )
         .orderBy("AccuracyRank")
     )
@@ -489,7 +489,7 @@ def top_balance_per_tier(tables: Tables, as_of) -> DataFrame:
         kpis.patient_risk_population(tables, as_of)
         .select(
             "PatientID", "MedicalRecordNumber", "FirstName", "LastName", "DerivedPatientRiskTier",
-            "EstimatedOutstandingAmount", F.row_number().over(order).alias("BalanceRank"),
+            "EstimatedOutstandingAmount", F.row_number().over(order).cast("bigint").alias("BalanceRank"),
         )
         .where(c("BalanceRank") == 1)
     )

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from caremesa.plans import kpis, library, reports, views
+from caremesa.operators import integrity, loading, profile, quality, risk_model
+from caremesa.plans import kpis, library, reports, rules, views
+from caremesa.sources import files
 from caremesa.sources.derived import AS_OF, derived_tables
 from caremesa.sources.tables import Tables
 
@@ -53,9 +56,235 @@ REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
 LIBRARY = {key: (lambda t, plan=plan: plan(t, AS_OF)) for key, plan in library.LIBRARY.items()}
 
 
+QUALITY: dict[str, Callable[[Tables], DataFrame]] = {
+    check.id: (lambda t, number=check.number: quality.single(t, AS_OF, number)) for check in quality.CHECKS
+} | {
+    "D32": lambda t: quality.detail_report(t, AS_OF),
+    "D33": lambda t: quality.summary_by_area(t, AS_OF),
+    "D34": lambda t: quality.enterprise_score(t, AS_OF),
+    "D35": integrity.seed_counts,
+    "D36": integrity.orphan_providers,
+    "D37": integrity.provider_department_mismatch,
+    "D38": integrity.orphan_departments,
+    "D39": integrity.orphan_plans,
+    "D40": integrity.orphan_model_versions,
+    "D41": integrity.orphan_model_features,
+    "D42": integrity.schema_counts,
+    "D43": integrity.enterprise_totals,
+}
+
+
+def _row_rules(t: Tables) -> DataFrame:
+    return integrity.check_rows(t, rules.ROW_RULES, AS_OF)
+
+
+def _json_rules(t: Tables) -> DataFrame:
+    return integrity.check_rows(t, rules.JSON_RULES, AS_OF)
+
+
+def _digit_rules(t: Tables) -> DataFrame:
+    return integrity.check_rows(t, rules.DIGIT_RULES, AS_OF)
+
+
+def _references(t: Tables) -> DataFrame:
+    return integrity.check_references(t, rules.REFERENCE_RULES)
+
+
+def _composite_references(t: Tables) -> DataFrame:
+    return integrity.check_references(t, rules.COMPOSITE_REFERENCE_RULES)
+
+
+def _keys(t: Tables) -> DataFrame:
+    return integrity.check_keys(t, rules.KEY_RULES)
+
+
+def _conditional_keys(t: Tables) -> DataFrame:
+    return integrity.check_keys(t, rules.CONDITIONAL_KEY_RULES)
+
+
+FAMILIES = {
+    "D45": _row_rules,
+    "D46": _references,
+    "D47": _composite_references,
+    "D48": _keys,
+    "D49": _conditional_keys,
+    "D50": _json_rules,
+    "D51": _digit_rules,
+}
+
+
+def _open_rules(t: Tables) -> DataFrame:
+    report = integrity.stack([family(t) for family in FAMILIES.values()])
+    return integrity.open_rules(report, rules.ALL_RULES, t)
+
+
+INTEGRITY = {"D44": _open_rules} | {
+    key: (lambda t, family=family: integrity.with_status(family(t))) for key, family in FAMILIES.items()
+}
+
+# Grouping of encounter types used by the inline-list example.
+TYPE_GROUPS = [("Emergency", "Acute"), ("Inpatient", "Acute"), ("Observation", "Acute"), ("Outpatient", "Planned")]
+
+
+def _inline_values(t: Tables) -> DataFrame:
+    groups = loading.inline_values(t.spark, TYPE_GROUPS, "EncounterType string, TypeGroup string")
+    encounters = t.read("clinical_encounter", "EncounterType")
+    return encounters.join(groups, "EncounterType").groupBy("TypeGroup").agg(F.count(F.lit(1)).alias("Encounters"))
+
+
+def _number_series(t: Tables) -> DataFrame:
+    """Numbers 1..patients that are no claim number."""
+    patients = t.read("clinical_patient", "PatientID").count()
+    claims = t.read("insurance_claim", "ClaimID").withColumnRenamed("ClaimID", "n")
+    return loading.number_series(t.spark, patients).join(claims, "n", "left_anti")
+
+
+def _exported(t: Tables) -> tuple[str, dict[str, str]]:
+    folder = files.scratch_folder(t.spark)
+    return folder, files.export_extracts(t, folder)
+
+
+def _csv_sink(t: Tables) -> DataFrame:
+    folder, outcome = _exported(t)
+    listed = t.spark.createDataFrame(sorted(outcome.items()), "dataset string, status string")
+    written = [
+        frame.agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit(name))
+        for name, frame in files.read_folder(t.spark, folder).items()
+    ]
+    return listed.join(integrity.stack(written), "dataset", "left").select("dataset", "status", "rows")
+
+
+def _csv_source(t: Tables) -> DataFrame:
+    folder = files.scratch_folder(t.spark)
+    files.write_csv(files.extract(t, "claims"), folder, "claims")
+    return files.read_csv(t.spark, folder, "claims").select("ClaimID", "ClaimNumber", "PatientID", "ClaimType", "ClaimStatus")
+
+
+def _csv_folder(t: Tables) -> DataFrame:
+    folder, _ = _exported(t)
+    counted = [
+        frame.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows", F.lit(len(frame.columns)).alias("columns"))
+        for name, frame in files.read_folder(t.spark, folder).items()
+    ]
+    return integrity.stack(counted)
+
+
+def _idempotent_append(t: Tables) -> DataFrame:
+    """Two thirds of the encounters are loaded; all of them arrive again."""
+    batch = t.read("clinical_encounter", "EncounterNumber", "EncounterID", "PatientID")
+    return loading.new_rows(batch, batch.where("EncounterID % 3 <> 0"), ["EncounterNumber"])
+
+
+def _round_robin(t: Tables) -> DataFrame:
+    patients = t.read("clinical_patient", "PatientID", "MedicalRecordNumber")
+    return loading.round_robin(patients, "PatientID", t.read("hospital_provider", "ProviderID"), "ProviderID")
+
+
+def _slots(t: Tables) -> DataFrame:
+    return loading.expand_slots(t.read("clinical_encounter", "EncounterID"), F.col("EncounterID") % 3)
+
+
+METRICS = {"MetricName": ("Charge", "Paid"), "Weight": (1, -1)}
+
+
+def _cross_values(t: Tables) -> DataFrame:
+    return loading.expand_values(t.read("insurance_claim", "ClaimID", "ClaimNumber"), METRICS)
+
+
+def _first_coverage(t: Tables) -> DataFrame:
+    coverage = t.read("insurance_patientcoverage", "PatientID", "CoveragePriority", "PatientCoverageID", "IsActive")
+    return loading.first_match(
+        t.read("clinical_encounter", "EncounterID", "PatientID"), "PatientID", coverage.where("IsActive"),
+        ("CoveragePriority", "PatientCoverageID"), (),
+    )
+
+
+def _first_encounter(t: Tables) -> DataFrame:
+    return loading.first_match(
+        t.read("clinical_patient", "PatientID", "MedicalRecordNumber"), "PatientID",
+        t.read("clinical_encounter", "PatientID", "AdmissionDateTimeUTC", "EncounterID"),
+        ("AdmissionDateTimeUTC", "EncounterID"), (), keep=True,
+    )
+
+
+def _earliest_invoice(t: Tables) -> DataFrame:
+    return loading.with_group_minimum(
+        t.read("billing_payment", "PaymentID", "PatientAccountID", "PatientID"), ["PatientAccountID", "PatientID"],
+        t.read("billing_invoice", "InvoiceID", "PatientAccountID", "PatientID"), "InvoiceID", "FirstInvoiceID",
+    )
+
+
+def _first_invoices(t: Tables) -> DataFrame:
+    invoices = t.read("billing_invoice", "InvoiceID", "PatientAccountID", "PatientID", "InvoiceDate")
+    lines = t.read("billing_invoiceline", "InvoiceID", "LineAmount")
+    return loading.top_groups(
+        invoices.join(lines, "InvoiceID"), invoices.columns, "LineAmount", "InvoiceAmount", "InvoiceID", 800
+    )
+
+
+def _registered_views(t: Tables) -> DataFrame:
+    loading.register_views({f"analytics_{key}": plan(t) for key, plan in VIEWS.items()})
+    return t.spark.sql(
+        "select e.EncounterType, count(*) as Encounters, count(v.VirtualVisitID) as Visits "
+        "from analytics_V02 e left join analytics_V04 v on v.EncounterID = e.EncounterID group by e.EncounterType"
+    )
+
+
+def _datasets(t: Tables) -> dict[str, DataFrame]:
+    return {dataset: t.read(table) for dataset, (table, _) in files.EXTRACTS.items()}
+
+
+LOADING: dict[str, Callable[[Tables], DataFrame]] = {
+    "E01": lambda t: t.read("clinical_encounter"),
+    "E02": _inline_values,
+    "E03": _number_series,
+    **{f"E04_{name}": (lambda t, name=name: files.extract(t, name)) for name in files.EXTRACTS},
+    "E05": _csv_sink,
+    "E06": _csv_source,
+    "E07": _csv_folder,
+    "E08": _idempotent_append,
+    "E09": _round_robin,
+    "E10": _slots,
+    "E11": _cross_values,
+    "E12": _first_coverage,
+    "E13": _first_encounter,
+    "E14": _earliest_invoice,
+    "E15": _first_invoices,
+    "E16": _registered_views,
+    "E17": lambda t: profile.profile(t.read("clinical_encounter"), "encounters"),
+    "E18": lambda t: profile.validation_report(_datasets(t)),
+    "E19": lambda t: profile.eda_summary(_datasets(t)),
+}
+
+
+def _predictions(t: Tables) -> DataFrame:
+    return t.read("ai_prediction")
+
+
+def _coerced(t: Tables) -> DataFrame:
+    return risk_model.coerce_numeric(risk_model.select_features(_predictions(t)))
+
+
+RISK_MODEL: dict[str, Callable[[Tables], DataFrame]] = {
+    "M01": lambda t: risk_model.select_features(_predictions(t)),
+    "M02": _coerced,
+    "M03": lambda t: risk_model.impute_median(_coerced(t)),
+    "M04": lambda t: risk_model.prepared(_predictions(t)),
+    "M05": lambda t: risk_model.class_distribution(risk_model.drop_untargeted(_predictions(t))),
+    "M06": lambda t: risk_model.stratified_split(
+        risk_model.drop_untargeted(risk_model.select_features(_predictions(t)))
+    ).select(risk_model.KEY, risk_model.TARGET, "IsTest"),
+    "M07": lambda t: risk_model.forest_summary(risk_model.fit(_predictions(t))),
+    "M08": lambda t: risk_model.accuracy_report(risk_model.predict(risk_model.fit(_predictions(t)))),
+    "M09": lambda t: risk_model.classification_report(risk_model.predict(risk_model.fit(_predictions(t)))),
+    "M10": lambda t: risk_model.feature_importance(risk_model.fit(_predictions(t))),
+}
+
+
 def _over_tables(plan: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, folder: plan(derived_tables(spark, folder))
 
 
 def queries() -> dict[str, Query]:
-    return {key: _over_tables(plan) for key, plan in {**VIEWS, **REPORTS, **LIBRARY}.items()}
+    plans = {**VIEWS, **REPORTS, **LIBRARY, **QUALITY, **INTEGRITY, **LOADING, **RISK_MODEL}
+    return {key: _over_tables(plan) for key, plan in plans.items()}
