@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from oracle.domain import DOMAIN
+from oracle.operators import LOADING, QUALITY, RISK_MODEL
 from oracle.reports import LIBRARY, REPORTS
 from oracle.views import VIEWS
 
@@ -31,4 +32,5 @@ def complete(sql: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     plain = {name.upper(): f"select * from {name}" for name in VIEWS}
-    return {key: complete(sql) for key, sql in {**plain, **REPORTS, **LIBRARY}.items()}
+    statements = {**plain, **REPORTS, **LIBRARY, **QUALITY, **LOADING, **RISK_MODEL}
+    return {key: complete(sql) for key, sql in statements.items()}
