@@ -86,6 +86,12 @@ CHARGE = "cast(l_extendedprice as decimal(18,2))"
 LINE_DENIED = "(l_orderkey % 17 = 3 or (l_linestatus = 'F' and l_linenumber = 7))"
 
 
+def _project(frame: DataFrame, wanted: tuple[str, ...], *expressions: str) -> DataFrame:
+    """The wanted output columns ("<expression> as <name>"), or all of them."""
+    by_name = {text.rpartition(" as ")[2]: text for text in expressions}
+    return frame.selectExpr(*(by_name[name] for name in wanted or by_name))
+
+
 def _code(prefix: str, key: str) -> str:
     return f"concat('{prefix}-', lpad(cast({key} as string), 12, '0'))"
 
@@ -116,8 +122,9 @@ class DerivedTables:
 
     # -- hospital -------------------------------------------------------------
 
-    def build_hospital_hospital(self, _) -> DataFrame:
-        return self.raw("nation").selectExpr(
+    def build_hospital_hospital(self, columns) -> DataFrame:
+        return _project(
+            self.raw("nation"), columns,
             "n_nationkey as HospitalID",
             "concat('HOSP-', lpad(cast(n_nationkey as string), 2, '0')) as HospitalCode",
             "n_name as HospitalName",
@@ -131,8 +138,9 @@ class DerivedTables:
             "true as IsActive",
         )
 
-    def build_hospital_location(self, _) -> DataFrame:
-        return self.raw("nation").selectExpr(
+    def build_hospital_location(self, columns) -> DataFrame:
+        return _project(
+            self.raw("nation"), columns,
             "n_nationkey as LocationID",
             "n_nationkey as HospitalID",
             "concat('LOC-', cast(n_nationkey as string)) as LocationCode",
@@ -144,9 +152,10 @@ class DerivedTables:
             "true as IsActive",
         )
 
-    def build_hospital_department(self, _) -> DataFrame:
+    def build_hospital_department(self, columns) -> DataFrame:
         slots = self.raw("nation").select("n_nationkey", F.explode(F.array(*map(F.lit, range(5)))).alias("slot"))
-        return slots.selectExpr(
+        return _project(
+            slots, columns,
             "n_nationkey * 5 + slot as DepartmentID",
             "if(n_nationkey = 24 and slot = 4, 99, n_nationkey) as HospitalID",
             "n_nationkey as LocationID",
@@ -158,14 +167,16 @@ class DerivedTables:
             "true as IsActive",
         )
 
-    def build_hospital_specialty(self, _) -> DataFrame:
-        return self.raw("part").groupBy("p_type").count().selectExpr(
+    def build_hospital_specialty(self, columns) -> DataFrame:
+        return _project(
+            self.raw("part").groupBy("p_type").count(), columns,
             "ascii(p_type) as SpecialtyID", "p_type as SpecialtyCode", "concat('Specialty ', p_type) as SpecialtyName"
         )
 
-    def build_hospital_provider(self, _) -> DataFrame:
+    def build_hospital_provider(self, columns) -> DataFrame:
         key = "s_suppkey"
-        return self.raw("supplier").selectExpr(
+        return _project(
+            self.raw("supplier"), columns,
             f"{key} as ProviderID",
             f"{_Rules.hospital_of(key)} as HospitalID",
             f"{_Rules.department_of(key)} as DepartmentID",
@@ -184,8 +195,9 @@ class DerivedTables:
             f"{key} % 10 <> 9 as IsActive",
         )
 
-    def build_hospital_providerspecialty(self, _) -> DataFrame:
-        return self.raw("supplier").selectExpr(
+    def build_hospital_providerspecialty(self, columns) -> DataFrame:
+        return _project(
+            self.raw("supplier"), columns,
             "s_suppkey as ProviderSpecialtyID",
             "s_suppkey as ProviderID",
             "cast(65 + s_suppkey % 20 as int) as SpecialtyID",
@@ -195,9 +207,10 @@ class DerivedTables:
 
     # -- clinical -------------------------------------------------------------
 
-    def build_clinical_patient(self, _) -> DataFrame:
+    def build_clinical_patient(self, columns) -> DataFrame:
         key = "c_custkey"
-        return self.raw("customer").selectExpr(
+        return _project(
+            self.raw("customer"), columns,
             f"{key} as PatientID",
             f"case when {key} % 333 = 5 then '   ' when {key} % 500 = 499 then {_code('MRN', f'{key} - 1')} "
             f"else {_code('MRN', key)} end as MedicalRecordNumber",
@@ -213,9 +226,10 @@ class DerivedTables:
             f"{key} % 60 <> 59 as IsActive",
         )
 
-    def build_clinical_patientaddress(self, _) -> DataFrame:
+    def build_clinical_patientaddress(self, columns) -> DataFrame:
         places = self.raw("nation").join(self.raw("region"), F.expr("n_regionkey = r_regionkey"))
-        return self.raw("customer").join(places, F.expr("c_nationkey = n_nationkey")).selectExpr(
+        return _project(
+            self.raw("customer").join(places, F.expr("c_nationkey = n_nationkey")), columns,
             "c_custkey as PatientAddressID",
             "c_custkey as PatientID",
             "if(c_custkey % 500 = 20, 'Cabin', 'Home') as AddressType",
@@ -226,10 +240,11 @@ class DerivedTables:
             "c_custkey % 20 <> 3 as IsActive",
         )
 
-    def build_clinical_encounter(self, _) -> DataFrame:
+    def build_clinical_encounter(self, columns) -> DataFrame:
         k, p = "o_orderkey", self.rules.provider("o_orderkey")
         hospital = _Rules.hospital_of(p)
-        return self.raw("orders").selectExpr(
+        return _project(
+            self.raw("orders"), columns,
             f"{k} as EncounterID",
             f"{PATIENT} as PatientID",
             f"{hospital} as HospitalID",
@@ -248,16 +263,17 @@ class DerivedTables:
             f"{TELEHEALTH} as IsTelehealth",
         )
 
-    def _lines_of(self, flag: str, columns: frozenset[str] | None) -> DataFrame:
+    def _lines_of(self, flag: str, columns: tuple[str, ...]) -> DataFrame:
         """Lines with one return flag; the patient costs a join and is added on demand."""
         lines = self.raw("lineitem").where(F.col("l_returnflag") == flag)
-        if columns is None or "PatientID" in columns:
+        if not columns or "PatientID" in columns:
             orders = self.raw("orders").selectExpr("o_orderkey", f"{PATIENT} as PatientID")
             return lines.join(orders, F.expr("l_orderkey = o_orderkey"))
         return lines.withColumn("PatientID", F.lit(None).cast("bigint"))
 
     def build_clinical_diagnosis(self, columns) -> DataFrame:
-        return self._lines_of("A", columns).selectExpr(
+        return _project(
+            self._lines_of("A", columns), columns,
             f"{LINE_ID} as DiagnosisID",
             "l_orderkey as EncounterID",
             "PatientID",
@@ -269,7 +285,8 @@ class DerivedTables:
         )
 
     def build_clinical_procedure(self, columns) -> DataFrame:
-        return self._lines_of("N", columns).selectExpr(
+        return _project(
+            self._lines_of("N", columns), columns,
             f"{LINE_ID} as ProcedureID",
             "l_orderkey as EncounterID",
             "PatientID",
@@ -280,7 +297,8 @@ class DerivedTables:
         )
 
     def build_clinical_medicationorder(self, columns) -> DataFrame:
-        return self._lines_of("R", columns).selectExpr(
+        return _project(
+            self._lines_of("R", columns), columns,
             f"{LINE_ID} as MedicationOrderID",
             "PatientID",
             "l_orderkey as EncounterID",
@@ -294,8 +312,9 @@ class DerivedTables:
             "if(l_partkey % 5 = 0, 'Completed', 'Active') as OrderStatus",
         )
 
-    def build_clinical_medication(self, _) -> DataFrame:
-        return self.raw("part").selectExpr(
+    def build_clinical_medication(self, columns) -> DataFrame:
+        return _project(
+            self.raw("part"), columns,
             "p_partkey as MedicationID",
             f"{_code('MED', 'p_partkey')} as MedicationCode",
             "p_name as MedicationName",
@@ -304,9 +323,10 @@ class DerivedTables:
             "true as IsActive",
         )
 
-    def build_clinical_vitals(self, _) -> DataFrame:
+    def build_clinical_vitals(self, columns) -> DataFrame:
         k = "o_orderkey"
-        return self.raw("orders").selectExpr(
+        return _project(
+            self.raw("orders"), columns,
             f"{k} as VitalID",
             f"{PATIENT} as PatientID",
             f"{k} as EncounterID",
@@ -326,13 +346,14 @@ class DerivedTables:
     def _visits(self) -> DataFrame:
         return self.raw("orders").where(TELEHEALTH)
 
-    def build_telehealth_virtualvisit(self, _) -> DataFrame:
+    def build_telehealth_virtualvisit(self, columns) -> DataFrame:
         k, p = "o_orderkey", self.rules.provider("o_orderkey")
         hospital = _Rules.hospital_of(p)
         started = f"{ADMITTED} + make_dt_interval(0, 0, cast({k} % 7 as int), 59)"
         ended = f"{started} + make_dt_interval(0, 0, cast(10 + {k} % 40 as int), cast({k} % 60 as int))"
         absent = f"{k} % 11 = 0"
-        return self._visits().selectExpr(
+        return _project(
+            self._visits(), columns,
             f"{k} as VirtualVisitID",
             f"{k} as EncounterID",
             f"{PATIENT} as PatientID",
@@ -357,7 +378,7 @@ class DerivedTables:
             f"if({k} % 12 = 0 and {k} % 24 <> 0, 'Spanish', cast(null as string)) as InterpreterLanguage",
         )
 
-    def build_telehealth_sessionevent(self, _) -> DataFrame:
+    def build_telehealth_sessionevent(self, columns) -> DataFrame:
         first = (
             self._visits()
             .selectExpr(f"{PATIENT} as PatientID", f"{ADMITTED} as At", "o_orderkey")
@@ -365,7 +386,8 @@ class DerivedTables:
             .agg(F.min(F.struct("At", "o_orderkey")).alias("first"))
             .selectExpr("PatientID", "first.o_orderkey as VirtualVisitID")
         )
-        return self.raw("events").join(first, F.expr("user_id = PatientID")).selectExpr(
+        return _project(
+            self.raw("events").join(first, F.expr("user_id = PatientID")), columns,
             "event_id as SessionEventID",
             "VirtualVisitID",
             "cast(event_id as bigint) as EventSequenceNumber",
@@ -377,8 +399,9 @@ class DerivedTables:
             "cast(null as string) as TechnicalErrorMessage",
         )
 
-    def build_telehealth_device(self, _) -> DataFrame:
-        return self.raw("customer").where("c_custkey % 10 = 0").selectExpr(
+    def build_telehealth_device(self, columns) -> DataFrame:
+        return _project(
+            self.raw("customer").where("c_custkey % 10 = 0"), columns,
             "c_custkey as DeviceID",
             "c_custkey as PatientID",
             f"{_code('DEV', 'c_custkey')} as DeviceIdentifier",
@@ -388,8 +411,9 @@ class DerivedTables:
             "true as IsActive",
         )
 
-    def build_telehealth_devicereading(self, _) -> DataFrame:
-        return self.raw("events").selectExpr(
+    def build_telehealth_devicereading(self, columns) -> DataFrame:
+        return _project(
+            self.raw("events"), columns,
             "event_id as DeviceReadingID",
             "user_id - user_id % 10 as DeviceID",
             "user_id - user_id % 10 as PatientID",
@@ -402,9 +426,10 @@ class DerivedTables:
             "ts - make_dt_interval(0, 0, cast(event_id % 7 as int)) as ReceivedDateTimeUTC",
         )
 
-    def build_telehealth_waitlistqueue(self, _) -> DataFrame:
+    def build_telehealth_waitlistqueue(self, columns) -> DataFrame:
         k = "o_orderkey"
-        return self._visits().selectExpr(
+        return _project(
+            self._visits(), columns,
             f"{k} as WaitlistQueueID",
             f"{k} as VirtualVisitID",
             f"{PATIENT} as PatientID",
@@ -417,8 +442,9 @@ class DerivedTables:
 
     # -- insurance ------------------------------------------------------------
 
-    def build_insurance_payer(self, _) -> DataFrame:
-        return self.raw("region").selectExpr(
+    def build_insurance_payer(self, columns) -> DataFrame:
+        return _project(
+            self.raw("region"), columns,
             "r_regionkey as PayerID",
             "concat('PAY-', cast(r_regionkey as string)) as PayerCode",
             "if(r_regionkey = 3, '  ', r_name) as PayerName",
@@ -427,8 +453,9 @@ class DerivedTables:
             "true as IsActive",
         )
 
-    def build_insurance_insuranceplan(self, _) -> DataFrame:
-        return self.raw("nation").selectExpr(
+    def build_insurance_insuranceplan(self, columns) -> DataFrame:
+        return _project(
+            self.raw("nation"), columns,
             "n_nationkey as InsurancePlanID",
             "if(n_nationkey = 17, 77, n_regionkey) as PayerID",
             "concat('PLAN-', cast(n_nationkey as string)) as PlanCode",
@@ -440,11 +467,12 @@ class DerivedTables:
             "true as IsActive",
         )
 
-    def build_insurance_patientcoverage(self, _) -> DataFrame:
+    def build_insurance_patientcoverage(self, columns) -> DataFrame:
         ranked = self.raw("customer").selectExpr(
             "c_custkey", "c_nationkey", "explode(sequence(0, if(c_custkey % 4 = 1, 1, 0))) as slot"
         )
-        return ranked.selectExpr(
+        return _project(
+            ranked, columns,
             "c_custkey * 2 + slot as PatientCoverageID",
             "c_custkey as PatientID",
             "(c_nationkey + slot * 3) % 25 as InsurancePlanID",
@@ -457,9 +485,10 @@ class DerivedTables:
             "c_custkey % 25 <> 7 as IsActive",
         )
 
-    def build_insurance_claim(self, _) -> DataFrame:
+    def build_insurance_claim(self, columns) -> DataFrame:
         k, p = "o_orderkey", self.rules.provider("o_orderkey")
-        return self.raw("orders").where(self.rules.claimed(k)).selectExpr(
+        return _project(
+            self.raw("orders").where(self.rules.claimed(k)), columns,
             f"{k} as ClaimID",
             f"{_code('CLM', k)} as ClaimNumber",
             f"{PATIENT} as PatientID",
@@ -477,13 +506,14 @@ class DerivedTables:
             f"if({k} % 800 = 7, {k}, cast(null as bigint)) as OriginalClaimID",
         )
 
-    def build_insurance_claimline(self, _) -> DataFrame:
+    def build_insurance_claimline(self, columns) -> DataFrame:
         charge, denied = CHARGE, LINE_DENIED
         paid = (
             f"case when {denied} then cast(0 as decimal(18,2)) "
             f"when l_partkey % 211 = 0 then {_share(charge, '1.10')} else {_share(charge, '0.70')} end"
         )
-        return self.raw("lineitem").where(self.rules.claimed("l_orderkey")).selectExpr(
+        return _project(
+            self.raw("lineitem").where(self.rules.claimed("l_orderkey")), columns,
             f"{LINE_ID} as ClaimLineID",
             "l_orderkey as ClaimID",
             "l_linenumber as LineNumber",
@@ -502,8 +532,9 @@ class DerivedTables:
 
     # -- billing --------------------------------------------------------------
 
-    def build_billing_patientaccount(self, _) -> DataFrame:
-        return self.raw("customer").selectExpr(
+    def build_billing_patientaccount(self, columns) -> DataFrame:
+        return _project(
+            self.raw("customer"), columns,
             "c_custkey as PatientAccountID",
             f"{_code('ACC', 'c_custkey')} as AccountNumber",
             "c_custkey as PatientID",
@@ -516,9 +547,10 @@ class DerivedTables:
     def _invoices(self) -> DataFrame:
         return self.raw("orders").where(self.rules.invoiced("o_orderkey"))
 
-    def build_billing_invoice(self, _) -> DataFrame:
+    def build_billing_invoice(self, columns) -> DataFrame:
         k = "o_orderkey"
-        return self._invoices().selectExpr(
+        return _project(
+            self._invoices(), columns,
             f"{k} as InvoiceID",
             f"{_code('INV', k)} as InvoiceNumber",
             f"{PATIENT} as PatientAccountID",
@@ -532,9 +564,10 @@ class DerivedTables:
             "cast(null as bigint) as OriginalInvoiceID",
         )
 
-    def build_billing_invoiceline(self, _) -> DataFrame:
+    def build_billing_invoiceline(self, columns) -> DataFrame:
         amount = f"if(l_partkey % 499 = 0 and l_linenumber = 1, -{CHARGE}, {CHARGE})"
-        return self.raw("lineitem").where(self.rules.invoiced("l_orderkey")).selectExpr(
+        return _project(
+            self.raw("lineitem").where(self.rules.invoiced("l_orderkey")), columns,
             f"{LINE_ID} as InvoiceLineID",
             "l_orderkey as InvoiceID",
             "l_linenumber as LineNumber",
@@ -556,9 +589,10 @@ class DerivedTables:
             f"when 2 then {_share(total, '0.50')} else {_share(total, '1.10')} end"
         )
 
-    def build_billing_payment(self, _) -> DataFrame:
+    def build_billing_payment(self, columns) -> DataFrame:
         k = "o_orderkey"
-        return self._payments().selectExpr(
+        return _project(
+            self._payments(), columns,
             f"{k} as PaymentID",
             f"{_code('PMT', k)} as PaymentNumber",
             f"{PATIENT} as PatientAccountID",
@@ -573,10 +607,11 @@ class DerivedTables:
             f"if({k} % 4 = 3 and {k} % 8 <> 3, concat('CHK', cast({k} as string)), cast(null as string)) as CheckNumber",
         )
 
-    def build_billing_paymentallocation(self, _) -> DataFrame:
+    def build_billing_paymentallocation(self, columns) -> DataFrame:
         k = "o_orderkey"
         parts = self._payments().selectExpr("*", f"explode(sequence(1, if({k} % 6 = 1, 2, 1))) as part")
-        return parts.selectExpr(
+        return _project(
+            parts, columns,
             f"{k} * 10 + part as PaymentAllocationID",
             f"{k} as PaymentID",
             f"{k} as InvoiceID",
@@ -588,9 +623,10 @@ class DerivedTables:
 
     # -- marketing ------------------------------------------------------------
 
-    def build_marketing_campaign(self, _) -> DataFrame:
+    def build_marketing_campaign(self, columns) -> DataFrame:
         start = "date_add(date'1996-01-01', r_regionkey * 100)"
-        return self.raw("region").selectExpr(
+        return _project(
+            self.raw("region"), columns,
             "r_regionkey as CampaignID",
             "concat('CMP-', cast(r_regionkey as string)) as CampaignCode",
             "concat('Campaign ', r_name) as CampaignName",
@@ -603,11 +639,12 @@ class DerivedTables:
             "if(r_regionkey = 4, null, r_regionkey) as HospitalID",
         )
 
-    def build_marketing_campaignchannel(self, _) -> DataFrame:
+    def build_marketing_campaignchannel(self, columns) -> DataFrame:
         slots = self.raw("region").where("r_regionkey <> 3").select(
             "r_regionkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("slot")
         )
-        return slots.selectExpr(
+        return _project(
+            slots, columns,
             "r_regionkey * 2 + slot as CampaignChannelID",
             "r_regionkey as CampaignID",
             "if(slot = 0, 'Email', 'SMS') as ChannelType",
@@ -617,8 +654,9 @@ class DerivedTables:
             "concat('TRK-', cast(r_regionkey * slot as string)) as TrackingCode",
         )
 
-    def build_marketing_campaigninteraction(self, _) -> DataFrame:
-        return self.raw("events").selectExpr(
+    def build_marketing_campaigninteraction(self, columns) -> DataFrame:
+        return _project(
+            self.raw("events"), columns,
             "event_id as CampaignInteractionID",
             "cast(user_id % 5 as int) as CampaignID",
             "cast((user_id % 5) * 2 + event_id % 2 as int) as CampaignChannelID",
@@ -632,14 +670,15 @@ class DerivedTables:
             "'CRM' as SourceSystem",
         )
 
-    def build_marketing_patientacquisition(self, _) -> DataFrame:
+    def build_marketing_patientacquisition(self, columns) -> DataFrame:
         first = (
             self.raw("events")
             .where("event_type = 'purchase'")
             .groupBy("user_id")
             .agg(F.min(F.struct("ts", "event_id")).alias("first"))
         )
-        return first.selectExpr(
+        return _project(
+            first, columns,
             "user_id as PatientAcquisitionID",
             "user_id as PatientID",
             "cast(user_id % 7 as int) as ReferralSourceID",
@@ -653,8 +692,9 @@ class DerivedTables:
             "concat('LEAD-', cast(user_id as string)) as ExternalLeadID",
         )
 
-    def build_marketing_patientcommunicationpreference(self, _) -> DataFrame:
-        return self.raw("customer").selectExpr(
+    def build_marketing_patientcommunicationpreference(self, columns) -> DataFrame:
+        return _project(
+            self.raw("customer"), columns,
             "c_custkey as PatientCommunicationPreferenceID",
             "c_custkey as PatientID",
             "'Email' as ChannelType",
@@ -664,8 +704,9 @@ class DerivedTables:
             "c_custkey % 4 in (0, 2) or c_custkey % 44 = 1 as IsActive",
         )
 
-    def build_marketing_referralsource(self, _) -> DataFrame:
-        return self.raw("region").selectExpr(
+    def build_marketing_referralsource(self, columns) -> DataFrame:
+        return _project(
+            self.raw("region"), columns,
             "r_regionkey as ReferralSourceID",
             "concat('REF-', cast(r_regionkey as string)) as ReferralSourceCode",
             "concat('Referral ', r_name) as ReferralSourceName",
@@ -673,8 +714,9 @@ class DerivedTables:
             "r_regionkey as ReferringHospitalID",
         )
 
-    def build_marketing_audiencesegment(self, _) -> DataFrame:
-        return self.raw("customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")).selectExpr(
+    def build_marketing_audiencesegment(self, columns) -> DataFrame:
+        return _project(
+            self.raw("customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")), columns,
             "ascii(c_mktsegment) as AudienceSegmentID",
             "c_mktsegment as SegmentCode",
             "concat('Segment ', c_mktsegment) as SegmentName",
@@ -685,8 +727,9 @@ class DerivedTables:
 
     # -- models ---------------------------------------------------------------
 
-    def build_ai_model(self, _) -> DataFrame:
-        return self.raw("region").selectExpr(
+    def build_ai_model(self, columns) -> DataFrame:
+        return _project(
+            self.raw("region"), columns,
             "r_regionkey as ModelID",
             "concat('MODEL-', cast(r_regionkey as string)) as ModelCode",
             "if(r_regionkey = 2, '', concat('Model ', r_name)) as ModelName",
@@ -696,8 +739,9 @@ class DerivedTables:
             "if(r_regionkey = 1, 'Extreme', 'High') as RiskLevel",
         )
 
-    def build_ai_modelversion(self, _) -> DataFrame:
-        return self.raw("region").selectExpr(
+    def build_ai_modelversion(self, columns) -> DataFrame:
+        return _project(
+            self.raw("region"), columns,
             "r_regionkey as ModelVersionID",
             "if(r_regionkey = 4, 9, r_regionkey) as ModelID",
             "concat('1.', cast(r_regionkey as string)) as VersionNumber",
@@ -709,8 +753,9 @@ class DerivedTables:
             "cast(null as string) as ModelHash",
         )
 
-    def build_ai_featuredefinition(self, _) -> DataFrame:
-        return self.raw("part").groupBy("p_brand").count().selectExpr(
+    def build_ai_featuredefinition(self, columns) -> DataFrame:
+        return _project(
+            self.raw("part").groupBy("p_brand").count(), columns,
             "cast(substring(p_brand, 7) as int) as FeatureDefinitionID",
             "p_brand as FeatureCode",
             "concat('Feature ', p_brand) as FeatureName",
@@ -719,8 +764,9 @@ class DerivedTables:
             "'Encounter' as SourceTable",
         )
 
-    def build_ai_modelfeature(self, _) -> DataFrame:
-        return self.raw("nation").selectExpr(
+    def build_ai_modelfeature(self, columns) -> DataFrame:
+        return _project(
+            self.raw("nation"), columns,
             "n_nationkey as ModelFeatureID",
             "n_nationkey % 6 as ModelVersionID",
             "n_nationkey + 3 as FeatureDefinitionID",
@@ -728,11 +774,12 @@ class DerivedTables:
             "n_nationkey as FeatureOrder",
         )
 
-    def build_ai_prediction(self, _) -> DataFrame:
+    def build_ai_prediction(self, columns) -> DataFrame:
         k = "o_orderkey"
         score = f"cast({k} % 100 as decimal(4,0))"
         payload = f"concat('{{\"k\":', cast({k} as string), '}}')"
-        return self.raw("orders").selectExpr(
+        return _project(
+            self.raw("orders"), columns,
             f"{k} as PredictionID",
             f"cast({k} % 5 as int) as ModelVersionID",
             f"{PATIENT} as PatientID",
@@ -753,9 +800,10 @@ class DerivedTables:
             f"cast(if({k} % 997 = 1, {k} - 1, {k}) as string) as CorrelationID",
         )
 
-    def build_ai_predictionoutcome(self, _) -> DataFrame:
+    def build_ai_predictionoutcome(self, columns) -> DataFrame:
         k = "o_orderkey"
-        return self.raw("orders").where(f"{k} % 7 <> 0").selectExpr(
+        return _project(
+            self.raw("orders").where(f"{k} % 7 <> 0"), columns,
             f"{k} as PredictionOutcomeID",
             f"{k} as PredictionID",
             "'Confirmed' as OutcomeType",

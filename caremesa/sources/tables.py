@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from pathlib import PurePosixPath
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-Reader = Callable[[frozenset[str] | None], DataFrame]
+# Gets the wanted columns (none: all of them) and returns just these.
+Reader = Callable[[tuple[str, ...]], DataFrame]
 
 
 class Tables:
@@ -31,20 +32,23 @@ class Tables:
     def read(self, name: str, *columns: str) -> DataFrame:
         if name not in self._readers:
             raise KeyError(f"Unknown table: {name}")
-        frame = self._readers[name](frozenset(columns) if columns else None)
-        return frame.select(*columns) if columns else frame
+        return self._readers[name](columns)
+
+
+def _narrow(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    return frame.select(*columns) if columns else frame
 
 
 def frame_tables(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Tables:
     """Tables over DataFrames that exist already."""
-    return Tables(spark, {name: lambda _, f=frame: f for name, frame in frames.items()})
+    return Tables(spark, {name: partial(_narrow, frame) for name, frame in frames.items()})
 
 
 def parquet_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> Tables:
     """One parquet dataset per table: ``<folder>/<name>.parquet``."""
 
     def reader(name: str) -> Reader:
-        return lambda _: spark.read.parquet(str(PurePosixPath(folder) / f"{name}.parquet"))
+        return lambda columns: _narrow(spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet"), columns)
 
     return Tables(spark, {name: reader(name) for name in names})
 
@@ -64,14 +68,14 @@ def jdbc_tables(
     """
 
     def reader(name: str) -> Reader:
-        def load(_: frozenset[str] | None) -> DataFrame:
+        def load(columns: tuple[str, ...]) -> DataFrame:
             source = spark.read.format("jdbc").options(url=url, dbtable=names[name], **options)
             if keys and name in keys:
                 column, low, high = keys[name]
                 source = source.options(
                     partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=partitions
                 )
-            return source.load()
+            return _narrow(source.load(), columns)
 
         return load
 
