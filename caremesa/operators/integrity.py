@@ -112,7 +112,7 @@ def check_references(tables: Tables, rules: Sequence[ReferenceRule]) -> DataFram
     for rule in rules:
         if rule.table in tables and rule.parent in tables:
             by_parent[(rule.parent, rule.parent_columns)].append(rule)
-    frames = []
+    frames, checked = [], []
     for (parent, parent_columns), mine in by_parent.items():
         keys = [f"k{i}" for i in range(len(parent_columns))]
         children = stack(
@@ -128,16 +128,12 @@ def check_references(tables: Tables, rules: Sequence[ReferenceRule]) -> DataFram
         parents = tables.read(parent, *parent_columns).select(
             *(c(column).cast("bigint").alias(key) for column, key in zip(parent_columns, keys))
         )
-        orphans = counted.join(parents, keys, "left_anti").groupBy("RuleName").agg(F.sum("_n").alias("_orphans"))
-        listed = tables.spark.createDataFrame(
-            [(rule.name, rule.table) for rule in mine], "RuleName string, TableName string"
-        )
-        frames.append(
-            listed.join(orphans, "RuleName", "left").select(
-                "RuleName", "TableName", F.coalesce("_orphans", F.lit(0)).cast("bigint").alias("Violations")
-            )
-        )
-    return stack(frames)
+        orphans = counted.join(parents, keys, "left_anti")
+        frames.append(orphans.select("RuleName", "TableName", c("_n").alias("Violations")))
+        checked += [(rule.name, rule.table, 0) for rule in mine]
+    # One zero per rule, so that a rule without orphans is reported too.
+    frames.append(tables.spark.createDataFrame(checked, RESULT))
+    return stack(frames).groupBy("RuleName", "TableName").agg(F.sum("Violations").alias("Violations"))
 
 
 def with_status(report: DataFrame) -> DataFrame:

@@ -66,8 +66,14 @@ def running_total(frame: DataFrame, order: str, amount: str, name: str, total: s
     return result.drop("_range", "_inside", "_offset", "_total")
 
 
-def row_numbers(
-    frame: DataFrame, key: str, ties: tuple[str, ...] = (), counts: str | None = None,
+def row_numbers(frame: DataFrame, key: str, name: str = "RowNumber", total: str = "RowTotal") -> DataFrame:
+    """Global row number in the order of a unique numeric key, and the row total."""
+    ones = frame.withColumn("_one", F.lit(1).cast("bigint"))
+    return running_total(ones, key, "_one", name, total).drop("_one")
+
+
+def ranked_rows(
+    frame: DataFrame, counts: str, key: str, ties: tuple[str, ...] = (),
     name: str = "RowNumber", total: str = "RowTotal",
 ) -> DataFrame:
     """Global row number by (counts descending, key, ties) and the row total.
@@ -77,8 +83,7 @@ def row_numbers(
     encounters, so the sequence over them stays small. Rows of one count are cut
     by key ranges, so a very frequent count is spread as well.
     """
-    value = c(counts) if counts else F.lit(0)
-    ranged = frame.withColumns({"_value": value, "_range": range_bucket(c(key), range_splits(frame, key))})
+    ranged = frame.withColumns({"_value": c(counts), "_range": range_bucket(c(key), range_splits(frame, key))})
     cells = ranged.groupBy("_value", "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_value").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     cell_offsets = cells.select("_value", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_in_value"))

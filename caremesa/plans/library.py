@@ -321,7 +321,7 @@ def productivity_quartiles(tables: Tables, as_of=None) -> DataFrame:
     providers = kpis.provider_productivity(tables).select(
         "ProviderID", "ProviderName", "HospitalName", "DepartmentID", "TotalEncounters"
     )
-    numbered = ordered.row_numbers(providers, "ProviderID", ("DepartmentID",), counts="TotalEncounters")
+    numbered = ordered.ranked_rows(providers, "TotalEncounters", "ProviderID", ("DepartmentID",))
     return numbered.select(
         "ProviderID", "ProviderName", "HospitalName", "TotalEncounters",
         ordered.ntile(c("RowNumber"), c("RowTotal"), 4).cast("int").alias("ProductivityQuartile"),

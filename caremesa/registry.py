@@ -157,7 +157,9 @@ def _csv_sink(t: Tables) -> DataFrame:
 def _csv_source(t: Tables) -> DataFrame:
     folder = files.scratch_folder(t.spark)
     files.write_csv(files.extract(t, "claims"), folder, "claims")
-    return files.read_csv(t.spark, folder, "claims").select("ClaimID", "ClaimNumber", "PatientID", "ClaimType", "ClaimStatus")
+    return files.read_csv(t.spark, folder, "claims").select(
+        F.col("ClaimID").cast("bigint"), "ClaimNumber", F.col("PatientID").cast("bigint"), "ClaimType", "ClaimStatus"
+    )
 
 
 def _csv_folder(t: Tables) -> DataFrame:

@@ -8,6 +8,8 @@ fixed remainders, so that no check is trivially empty.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -816,5 +818,7 @@ class DerivedTables:
         )
 
 
+@lru_cache(maxsize=8)
 def derived_tables(spark: SparkSession, folder: str) -> Tables:
+    """Tables over one read-only folder, whose files are listed once per session."""
     return DerivedTables(spark, folder).tables()
