@@ -8,6 +8,7 @@ from caremesa.functions.exprs import (
     money,
     month_start,
     percent,
+    whole_average,
     wide_average,
     zero,
 )
@@ -22,6 +23,7 @@ __all__ = [
     "money",
     "month_start",
     "percent",
+    "whole_average",
     "wide_average",
     "zero",
 ]

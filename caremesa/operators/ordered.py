@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caremesa.operators.settled import settled
+
 c = F.col
 BUCKETS = 64
 
@@ -160,7 +162,7 @@ def exact_median(frame: DataFrame, column: str) -> DataFrame:
     Equal values are counted before anything is ordered, so a frequent value is
     one record; the middle is read off the running counts.
     """
-    counted = frame.where(c(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    counted = settled(frame.where(c(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n")))
     upto = running_total(counted, column, "_n", "_upto", total="_all")
     low, high = F.floor((c("_all") + 1) / 2), F.floor((c("_all") + 2) / 2)
 

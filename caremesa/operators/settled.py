@@ -1,0 +1,22 @@
+"""Results that several branches of one plan read."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def settled(frame: DataFrame) -> DataFrame:
+    """The frame, computed once and kept in the reliable checkpoint folder.
+
+    Used for aggregates that are far smaller than their facts and that a plan
+    reads more than once. The files survive lost executors. The cluster names
+    the folder in ``spark.checkpoint.dir``; only a session without it, as in
+    tests, gets a local one.
+    """
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        named = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="caremesa-checkpoint-"))
+    return frame.checkpoint()

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caremesa.functions import month_start, percent, wide_average, zero
+from caremesa.functions import month_start, percent, whole_average, zero
 from caremesa.plans import views
 from caremesa.plans.views import HIGH, count_if, rows
 from caremesa.sources.tables import Tables
@@ -32,7 +32,7 @@ def _encounter_measures() -> list[Column]:
         F.count_distinct("PatientID").alias("UniquePatients"),
         count_if(c("IsTelehealth")).alias("TelehealthEncounters"),
         count_if(c("EncounterType") == "Emergency").alias("EmergencyEncounters"),
-        wide_average(c("LengthOfStayMinutes")).alias("AverageEncounterDurationMinutes"),
+        whole_average(c("LengthOfStayMinutes")).alias("AverageEncounterDurationMinutes"),
     ]
 
 
@@ -53,7 +53,7 @@ def enterprise_scorecard(tables: Tables, as_of: dt.date | str) -> DataFrame:
         F.sum("IsCompleted").alias("CompletedVirtualVisits"),
         F.sum("IsNoShow").alias("NoShowVirtualVisits"),
         F.sum("IsDisconnected").alias("DisconnectedVirtualVisits"),
-        wide_average(c("ActualVisitDurationMinutes")).alias("AverageVirtualVisitMinutes"),
+        whole_average(c("ActualVisitDurationMinutes")).alias("AverageVirtualVisitMinutes"),
     )
     claims = views.claim_financials(tables).agg(
         *_claim_measures(),
@@ -171,9 +171,9 @@ def telehealth_monthly(tables: Tables) -> DataFrame:
             F.sum("IsCompleted").alias("CompletedVisits"),
             F.sum("IsNoShow").alias("NoShowVisits"),
             F.sum("IsDisconnected").alias("DisconnectedVisits"),
-            wide_average(c("PatientJoinDelayMinutes")).alias("AveragePatientJoinDelayMinutes"),
-            wide_average(c("ProviderJoinDelayMinutes")).alias("AverageProviderJoinDelayMinutes"),
-            wide_average(c("ActualVisitDurationMinutes")).alias("AverageVisitDurationMinutes"),
+            whole_average(c("PatientJoinDelayMinutes")).alias("AveragePatientJoinDelayMinutes"),
+            whole_average(c("ProviderJoinDelayMinutes")).alias("AverageProviderJoinDelayMinutes"),
+            whole_average(c("ActualVisitDurationMinutes")).alias("AverageVisitDurationMinutes"),
             F.sum("TechnicalErrorCount").alias("TotalTechnicalErrors"),
             count_if(c("IsInterpreterRequired")).alias("InterpreterRequiredVisits"),
         )
@@ -200,8 +200,8 @@ def revenue_cycle_monthly(tables: Tables, as_of: dt.date | str) -> DataFrame:
             _wide_sum("TotalAllowedAmount").alias("TotalAllowedAmount"),
             _wide_sum("TotalPaidAmount").alias("InsurancePaidAmount"),
             _wide_sum("TotalPatientResponsibilityAmount").alias("PatientResponsibilityAmount"),
-            wide_average(c("SubmissionLagDays")).alias("AverageSubmissionLagDays"),
-            wide_average(c("AdjudicationDays")).alias("AverageAdjudicationDays"),
+            whole_average(c("SubmissionLagDays")).alias("AverageSubmissionLagDays"),
+            whole_average(c("AdjudicationDays")).alias("AverageAdjudicationDays"),
         )
     )
     invoices = (

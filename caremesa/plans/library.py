@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caremesa.functions import month_start, percent, wide_average, zero
+from caremesa.functions import month_start, percent, whole_average, wide_average, zero
 from caremesa.operators import ordered
+from caremesa.operators.settled import settled
 from caremesa.plans import kpis, reports, views
 from caremesa.plans.views import HIGH, count_if, rows
 from caremesa.sources.tables import Tables
@@ -107,8 +108,8 @@ def risk_segmentation(tables: Tables, as_of) -> DataFrame:
     """Q07"""
     return kpis.patient_risk_population(tables, as_of).groupBy("DerivedPatientRiskTier").agg(
         rows().alias("PatientCount"),
-        wide_average(c("TotalEncounters")).alias("AverageEncounters"),
-        wide_average(c("EmergencyEncounters")).alias("AverageEmergencyEncounters"),
+        whole_average(c("TotalEncounters")).alias("AverageEncounters"),
+        whole_average(c("EmergencyEncounters")).alias("AverageEmergencyEncounters"),
         wide_average(c("EstimatedOutstandingAmount")).alias("AverageOutstandingAmount"),
     )
 
@@ -169,7 +170,7 @@ def _denial_rate() -> Column:
 
 def denial_rate_vs_enterprise(tables: Tables, as_of=None) -> DataFrame:
     """Q13"""
-    monthly = kpis.claim_denial_monthly(tables)
+    monthly = settled(kpis.claim_denial_monthly(tables))
     enterprise = monthly.agg(_denial_rate().alias("r")).scalar()
     return monthly.select(
         "KPI_Month", "HospitalName", "PayerName", "TotalClaims", "DeniedClaims", "DenialRatePercent",
@@ -321,7 +322,7 @@ def productivity_quartiles(tables: Tables, as_of=None) -> DataFrame:
     providers = kpis.provider_productivity(tables).select(
         "ProviderID", "ProviderName", "HospitalName", "DepartmentID", "TotalEncounters"
     )
-    numbered = ordered.ranked_rows(providers, "TotalEncounters", "ProviderID", ("DepartmentID",))
+    numbered = ordered.ranked_rows(settled(providers), "TotalEncounters", "ProviderID", ("DepartmentID",))
     return numbered.select(
         "ProviderID", "ProviderName", "HospitalName", "TotalEncounters",
         ordered.ntile(c("RowNumber"), c("RowTotal"), 4).cast("int").alias("ProductivityQuartile"),
@@ -330,10 +331,12 @@ def productivity_quartiles(tables: Tables, as_of=None) -> DataFrame:
 
 def provider_vs_hospital(tables: Tables, as_of=None) -> DataFrame:
     """Q26: the hospital mean is an aggregate joined back, not a window."""
-    providers = kpis.provider_productivity(tables).select(
-        "ProviderID", "ProviderName", "HospitalID", "HospitalName", "TotalEncounters"
+    providers = settled(
+        kpis.provider_productivity(tables).select(
+            "ProviderID", "ProviderName", "HospitalID", "HospitalName", "TotalEncounters"
+        )
     )
-    means = providers.groupBy("HospitalID").agg(wide_average(c("TotalEncounters")).alias("mean"))
+    means = providers.groupBy("HospitalID").agg(whole_average(c("TotalEncounters")).alias("mean"))
     return (
         providers.join(means, "HospitalID")
         .select(
@@ -423,7 +426,7 @@ def scorecard_unpivot(tables: Tables, as_of) -> DataFrame:
 
 def month_calendar(tables: Tables, as_of) -> DataFrame:
     """Q32: every month from the first to the last, gaps filled with zero."""
-    monthly = kpis.revenue_cycle_monthly(tables, as_of).select("KPI_Month", "TotalCollectedAmount")
+    monthly = settled(kpis.revenue_cycle_monthly(tables, as_of).select("KPI_Month", "TotalCollectedAmount"))
     months = F.sequence(F.min("KPI_Month"), F.max("KPI_Month"), F.expr("interval 1 month"))
     calendar = monthly.agg(months.alias("m")).select(F.explode("m").alias("CalendarMonth"))
     return (
@@ -446,11 +449,14 @@ def providers_without_claims(tables: Tables, as_of=None) -> DataFrame:
 
 def hospitals_above_enterprise_denial(tables: Tables, as_of=None) -> DataFrame:
     """Q34: the enterprise rate is summed from the hospital rows."""
-    monthly = kpis.claim_denial_monthly(tables)
-    hospitals = monthly.groupBy("HospitalName").agg(
-        F.sum("TotalClaims").alias("TotalClaims"),
-        F.sum("DeniedClaims").alias("DeniedClaims"),
-        _denial_rate().alias("HospitalDenialRatePercent"),
+    hospitals = settled(
+        kpis.claim_denial_monthly(tables)
+        .groupBy("HospitalName")
+        .agg(
+            F.sum("TotalClaims").alias("TotalClaims"),
+            F.sum("DeniedClaims").alias("DeniedClaims"),
+            _denial_rate().alias("HospitalDenialRatePercent"),
+        )
     )
     enterprise = hospitals.agg(_denial_rate().alias("r")).scalar()
     return (
@@ -466,7 +472,7 @@ def second_highest_provider(tables: Tables, as_of=None) -> DataFrame:
     The two highest counts come from a top-2 over the distinct counts, so no
     task ranks all providers.
     """
-    providers = kpis.provider_productivity(tables).select("ProviderID", "ProviderName", "TotalEncounters")
+    providers = settled(kpis.provider_productivity(tables).select("ProviderID", "ProviderName", "TotalEncounters"))
     top_two = providers.select("TotalEncounters").distinct().orderBy(_desc("TotalEncounters")).limit(2)
     second = top_two.agg(F.when(rows() == 2, F.min("TotalEncounters")).alias("v")).scalar()
     return providers.where(c("TotalEncounters") == second)

@@ -22,7 +22,7 @@ from caremesa.functions import (
     minutes_between,
     month_start,
     percent,
-    wide_average,
+    whole_average,
     zero,
 )
 from caremesa.sources.tables import Tables
@@ -213,7 +213,7 @@ def clinical_utilization_monthly(tables: Tables) -> DataFrame:
             rows().alias("EncounterCount"),
             F.count_distinct("PatientID").alias("UniquePatientCount"),
             count_if(c("IsTelehealth")).alias("TelehealthEncounterCount"),
-            wide_average(minutes_between(c("AdmissionDateTimeUTC"), c("DischargeDateTimeUTC"))).alias(
+            whole_average(minutes_between(c("AdmissionDateTimeUTC"), c("DischargeDateTimeUTC"))).alias(
                 "AverageLengthOfStayMinutes"
             ),
         )
@@ -497,7 +497,7 @@ def hospital_executive_summary(tables: Tables, exact_claims: bool = False) -> Da
             F.count_distinct("PatientID").alias("UniquePatients"),
             count_if(c("IsTelehealth")).alias("TelehealthEncounters"),
             count_if(c("EncounterType") == "Emergency").alias("EmergencyEncounters"),
-            wide_average(minutes_between(c("AdmissionDateTimeUTC"), c("DischargeDateTimeUTC"))).alias(
+            whole_average(minutes_between(c("AdmissionDateTimeUTC"), c("DischargeDateTimeUTC"))).alias(
                 "AverageEncounterDurationMinutes"
             ),
         )
