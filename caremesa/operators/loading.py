@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caremesa.operators import ordered
@@ -89,8 +89,6 @@ def top_groups(
 
     The limit is a distributed top-k; only its result is numbered.
     """
-    from pyspark.sql import Window
-
     grouped = frame.groupBy(*keys).agg(F.sum(amount).alias(total))
     return grouped.orderBy(order).limit(limit).withColumn(
         number, F.row_number().over(Window.orderBy(order)).cast("bigint")

@@ -16,6 +16,24 @@ from caremesa.sources.tables import Tables
 c = F.col
 
 
+Period = tuple[dt.date | None, dt.date | None]
+ALWAYS: Period = (None, None)
+
+
+def within(frame: DataFrame, column: str, period: Period) -> DataFrame:
+    """Rows from the first to before the second date.
+
+    Months are cut on the plain date column, not on the month computed from it,
+    so the condition reaches the scan and its partitions and row groups.
+    """
+    first, after = period
+    if first is not None:
+        frame = frame.where(c(column) >= F.lit(first))
+    if after is not None:
+        frame = frame.where(c(column) < F.lit(after))
+    return frame
+
+
 def _wide_sum(name: str) -> Column:
     return F.sum(name).cast("decimal(38,2)")
 
@@ -91,20 +109,20 @@ def enterprise_scorecard(tables: Tables, as_of: dt.date | str) -> DataFrame:
     )
 
 
-def hospital_monthly_performance(tables: Tables) -> DataFrame:
+def hospital_monthly_performance(tables: Tables, period: Period = ALWAYS) -> DataFrame:
     """Month x hospital, anchored on months that have encounters."""
     encounters = (
-        views.encounter_details(tables)
+        within(views.encounter_details(tables), "AdmissionDateTimeUTC", period)
         .groupBy(month_start(c("AdmissionDateTimeUTC")).alias("KPI_Month"), "HospitalID", "HospitalName")
         .agg(*_encounter_measures())
     )
     claims = (
-        views.claim_financials(tables)
+        within(views.claim_financials(tables), "ServiceStartDate", period)
         .groupBy(month_start(c("ServiceStartDate")).alias("KPI_Month"), "HospitalID")
         .agg(*_claim_measures())
     )
     visits = (
-        views.telehealth_performance(tables)
+        within(views.telehealth_performance(tables), "ScheduledStartDateTimeUTC", period)
         .groupBy(month_start(c("ScheduledStartDateTimeUTC")).alias("KPI_Month"), "HospitalID")
         .agg(
             rows().alias("TotalVirtualVisits"),
@@ -158,10 +176,10 @@ def provider_productivity(tables: Tables) -> DataFrame:
     )
 
 
-def telehealth_monthly(tables: Tables) -> DataFrame:
+def telehealth_monthly(tables: Tables, period: Period = ALWAYS) -> DataFrame:
     """Month x hospital x department x platform x patient device."""
     grouped = (
-        views.telehealth_performance(tables)
+        within(views.telehealth_performance(tables), "ScheduledStartDateTimeUTC", period)
         .groupBy(
             month_start(c("ScheduledStartDateTimeUTC")).alias("KPI_Month"),
             "HospitalID", "HospitalName", "DepartmentID", "DepartmentName", "PlatformName", "PatientDeviceType",
@@ -188,10 +206,10 @@ def telehealth_monthly(tables: Tables) -> DataFrame:
     )
 
 
-def revenue_cycle_monthly(tables: Tables, as_of: dt.date | str) -> DataFrame:
+def revenue_cycle_monthly(tables: Tables, as_of: dt.date | str, period: Period = ALWAYS) -> DataFrame:
     """Month, anchored on months that have claims."""
     claims = (
-        views.claim_financials(tables)
+        within(views.claim_financials(tables), "ServiceStartDate", period)
         .groupBy(month_start(c("ServiceStartDate")).alias("KPI_Month"))
         .agg(
             rows().alias("TotalClaims"),
@@ -205,7 +223,7 @@ def revenue_cycle_monthly(tables: Tables, as_of: dt.date | str) -> DataFrame:
         )
     )
     invoices = (
-        views.patient_billing_summary(tables, as_of)
+        within(views.patient_billing_summary(tables, as_of), "InvoiceDate", period)
         .groupBy(month_start(c("InvoiceDate")).alias("KPI_Month"))
         .agg(
             rows().alias("TotalInvoices"),
@@ -228,11 +246,11 @@ def revenue_cycle_monthly(tables: Tables, as_of: dt.date | str) -> DataFrame:
     )
 
 
-def claim_denial_monthly(tables: Tables) -> DataFrame:
+def claim_denial_monthly(tables: Tables, period: Period = ALWAYS) -> DataFrame:
     """Month x hospital x payer x plan x type x denial reason."""
     denied = c("IsDeniedClaim") == 1
     grouped = (
-        views.claim_denial_analysis(tables)
+        within(views.claim_denial_analysis(tables), "ServiceStartDate", period)
         .groupBy(
             month_start(c("ServiceStartDate")).alias("KPI_Month"),
             "HospitalName", "PayerName", "PlanName", "ClaimType", "PrimaryDenialReasonCode",

@@ -66,6 +66,13 @@ def _matching(frame: DataFrame, **wanted) -> DataFrame:
     return frame
 
 
+def _month_bounds(first: dt.date, last: dt.date) -> kpis.Period:
+    """Start of the first month and of the month after the last; open ends stay open."""
+    start = None if first == FIRST_DATE else first.replace(day=1)
+    after = None if last.year == LAST_DATE.year else (last.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+    return start, after
+
+
 def _months(frame: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """Months from that of the first date to that of the last, both whole."""
     return frame.where(c("KPI_Month").between(F.lit(first.replace(day=1)), F.lit(last.replace(day=1))))
@@ -85,7 +92,9 @@ def patient_360(tables: Tables, as_of, patient_id: int | None = None, mrn: str |
 def hospital_performance(tables: Tables, as_of=None, hospital_id: int | None = None, start=None, end=None) -> DataFrame:
     """P03"""
     first, last = _period(start, end, 51002)
-    frame = _matching(kpis.hospital_monthly_performance(tables), HospitalID=hospital_id)
+    frame = _matching(
+        kpis.hospital_monthly_performance(tables, _month_bounds(first, last)), HospitalID=hospital_id
+    )
     return _months(frame, first, last).orderBy("KPI_Month", "HospitalID")
 
 
@@ -105,7 +114,9 @@ def claim_denial_report(
     """P05"""
     first, last = _period(start, end, 51004)
     _require(0 <= min_rate <= 100, 51005)
-    frame = _matching(kpis.claim_denial_monthly(tables), HospitalName=hospital_name, PayerName=payer_name)
+    frame = _matching(
+        kpis.claim_denial_monthly(tables, _month_bounds(first, last)), HospitalName=hospital_name, PayerName=payer_name
+    )
     floor = F.lit(Decimal(str(min_rate))).cast("decimal(9,2)")
     return (
         _months(frame, first, last)
@@ -117,7 +128,9 @@ def claim_denial_report(
 def monthly_revenue_cycle(tables: Tables, as_of, start=None, end=None) -> DataFrame:
     """P06"""
     first, last = _period(start, end, 51006)
-    return _months(kpis.revenue_cycle_monthly(tables, as_of), first, last).orderBy("KPI_Month")
+    return _months(
+        kpis.revenue_cycle_monthly(tables, as_of, _month_bounds(first, last)), first, last
+    ).orderBy("KPI_Month")
 
 
 def telehealth_operations(
@@ -125,7 +138,9 @@ def telehealth_operations(
 ) -> DataFrame:
     """P07"""
     first, last = _period(start, end, 51007)
-    frame = _matching(kpis.telehealth_monthly(tables), HospitalID=hospital_id, DepartmentID=department_id)
+    frame = _matching(
+        kpis.telehealth_monthly(tables, _month_bounds(first, last)), HospitalID=hospital_id, DepartmentID=department_id
+    )
     return _months(frame, first, last).orderBy("KPI_Month", "HospitalID", "DepartmentID")
 
 
@@ -156,6 +171,9 @@ def patient_encounter_history(tables: Tables, as_of=None, patient_id: int | None
     _require(patient_id is not None, 51010)
     first, last = _period(start, end, 51011)
     frame = _matching(views.encounter_details(tables), PatientID=patient_id)
+    start = None if first == FIRST_DATE else first
+    after = None if last == LAST_DATE else last + dt.timedelta(days=1)
+    frame = kpis.within(frame, "AdmissionDateTimeUTC", (start, after))
     frame = frame.where(F.to_date("AdmissionDateTimeUTC").between(F.lit(first), F.lit(last)))
     return frame.orderBy(c("AdmissionDateTimeUTC").desc(), c("EncounterID").desc())
 

@@ -48,6 +48,7 @@ REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
     "P09": lambda t: reports.model_performance(t, min_predictions=1),
     "P10": lambda t: reports.patient_encounter_history(t, patient_id=1),
     "P11": lambda t: reports.patient_billing_detail(t, AS_OF, patient_id=1),
+    "P12": lambda t: integrity.stack(list(reports.top_executive_exceptions(t, AS_OF).values())),
     "P12a": lambda t: reports.top_executive_exceptions(t, AS_OF)["outstanding"],
     "P12b": lambda t: reports.top_executive_exceptions(t, AS_OF)["denials"],
     "P12c": lambda t: reports.top_executive_exceptions(t, AS_OF)["no_shows"],
@@ -284,7 +285,7 @@ RISK_MODEL: dict[str, Callable[[Tables], DataFrame]] = {
 
 
 def _over_tables(plan: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, folder: plan(derived_tables(spark, folder))
+    return lambda spark, folder: plan(derived_tables(spark, str(folder)))
 
 
 def queries() -> dict[str, Query]:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from oracle.views import cents, half_up, mean, mean_micro, mean_money, money, month, pct, tally
 
-RISK = "select * from v17"
-
 REPORTS: dict[str, str] = {
     "P01": "select * from v11",
     "P02": "select * from v01 where PatientID = 1",
@@ -33,6 +31,8 @@ REPORTS: dict[str, str] = {
                from v04 where IsNoShow = 1 order by ScheduledStartDateTimeUTC desc, VirtualVisitID limit 20""",
 }
 
+REPORTS["P12"] = " union all ".join(f"select * from ({REPORTS[key]})" for key in ("P12a", "P12b", "P12c"))
+
 LIBRARY: dict[str, str] = {
     "Q01": f"""
         with m as (select {month('AdmissionDateTimeUTC')} as EncounterMonth, count(*) as TotalEncounters from v02 group by 1),

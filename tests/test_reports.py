@@ -1,6 +1,11 @@
+import contextlib
+import datetime as dt
+import io
+
 import pytest
 
 from caremesa.plans import library, reports
+from caremesa.sources.tables import parquet_tables
 from tests.micro import micro_tables
 
 AS_OF = "1999-06-30"
@@ -43,6 +48,31 @@ def test_filters(spark):
     assert set(reports.top_executive_exceptions(tables, AS_OF)) == {"outstanding", "denials", "no_shows"}
 
 
+def formatted_plan(frame):
+    printed = io.StringIO()
+    with contextlib.redirect_stdout(printed):
+        frame.explain("formatted")
+    return printed.getvalue()
+
+
+def test_months_are_taken_whole_and_cut_at_the_scan(spark, tmp_path):
+    days = [dt.date(1999, 1, 31), dt.date(1999, 2, 1), dt.date(1999, 2, 28), dt.date(1999, 3, 31), dt.date(1999, 4, 1)]
+    claims = [
+        {"ClaimID": i, "PatientID": 1, "PatientCoverageID": 1, "ProviderID": 1, "HospitalID": 1, "ServiceStartDate": day}
+        for i, day in enumerate(days)
+    ]
+    tables = micro_tables(spark, insurance_claim=claims)
+    for name in tables.names:
+        tables.read(name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    stored = parquet_tables(spark, str(tmp_path), tables.names)
+    report = reports.monthly_revenue_cycle(stored, AS_OF, start="1999-02-15", end="1999-03-02")
+    assert [(r.KPI_Month.month, r.TotalClaims) for r in report.collect()] == [(2, 2), (3, 1)]
+    plan = formatted_plan(report)
+    assert "GreaterThanOrEqual(ServiceStartDate,1999-02-01)" in plan and "LessThan(ServiceStartDate,1999-04-01)" in plan
+    telehealth = formatted_plan(reports.telehealth_operations(stored, start="1999-02-15"))
+    assert "GreaterThanOrEqual(ScheduledStartDateTimeUTC,1999-02-01" in telehealth
+
+
 def test_inventory_lists_every_report(spark):
     listed = [r.ReportName for r in library.report_inventory(micro_tables(spark)).collect()]
     assert listed == sorted(reports.REPORTS) and len(listed) == 12
