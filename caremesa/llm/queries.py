@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caremesa.llm import quality, sharding
+from caremesa.llm import quality, sharding, simhash
 from caremesa.llm.common import table
 
 
@@ -12,10 +12,14 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"))
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_sharding, op9_quality_rules)}
+QUERIES = {query.__name__: query for query in (op1_sharding, op5_simhash, op9_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}
