@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caremesa.llm import quality, sharding, simhash
+from caremesa.llm import packing, quality, sharding, simhash
 from caremesa.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_sharding, op5_simhash, op9_quality_rules)}
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+QUERIES = {query.__name__: query for query in (op1_sharding, op5_simhash, op9_quality_rules, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
