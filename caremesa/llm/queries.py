@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caremesa.llm import packing, quality, sharding, simhash
+from caremesa.llm import packing, quality, sharding, simhash, toxicity
 from caremesa.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
@@ -24,6 +28,6 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_sharding, op5_simhash, op9_quality_rules, op10_packing)}
+QUERIES = {query.__name__: query for query in (op1_sharding, op5_simhash, op7_toxicity, op9_quality_rules, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
