@@ -213,3 +213,9 @@ def judge(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     measured = joined.select("*", *_vector()).withColumn("_far", _distance())
     outlier = F.coalesce(c("_far") > chi2_quantile(TAIL, DIMENSIONS), F.lit(False))
     return measured.select(*carry, *STATS[:-1], "base_failed", (~c("base_failed") & ~outlier).alias("kept"))
+
+
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns."""
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang", "source")
+    return judge(rows, ["_row"]).where("kept").select("_row.*")

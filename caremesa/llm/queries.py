@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from caremesa.llm import packing, quality, sharding, simhash, toxicity
 from caremesa.llm.common import table
 
@@ -28,6 +29,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_sharding, op5_simhash, op7_toxicity, op9_quality_rules, op10_packing)}
+QUERIES = {query.__name__: query for query in (
+    op1_sharding, op5_simhash, op7_toxicity, op9_quality_rules, op10_packing,
+)} | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -376,3 +376,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = with_score(docs.select("doc_id", "text"), labels)
     predicted = (c("_score") >= THRESHOLD).cast("int")
     return scored.select("doc_id", held_out(c("doc_id")).alias("held_out"), c("_score").alias("score"), predicted.alias("predicted"))
+
+
+def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose score stays below the threshold, with all their columns (none named _score)."""
+    return with_score(docs, labels).where(c("_score") < THRESHOLD).select(*docs.columns)
