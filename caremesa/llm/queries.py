@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from caremesa.llm import packing, quality, sharding, simhash, toxicity
+from caremesa.llm import packing, quality, sharding, simhash, topk, toxicity
 from caremesa.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(table(spark, folder, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -30,7 +34,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {query.__name__: query for query in (
-    op1_sharding, op5_simhash, op7_toxicity, op9_quality_rules, op10_packing,
+    op1_sharding, op5_simhash, op6_topk_search, op7_toxicity, op9_quality_rules, op10_packing,
 )} | {"pipeline": corpus_pipeline.run}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_topk_search": topk.ORACLE}
