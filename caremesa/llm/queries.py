@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from caremesa.llm import packing, quality, sharding, simhash, topk, toxicity
+from caremesa.llm import packing, quality, sharding, simhash, topk, toxicity, warc
 from caremesa.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"))
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive(table(spark, folder, "pages"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -34,7 +38,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {query.__name__: query for query in (
-    op1_sharding, op5_simhash, op6_topk_search, op7_toxicity, op9_quality_rules, op10_packing,
+    op1_sharding, op4_warc, op5_simhash, op6_topk_search, op7_toxicity, op9_quality_rules, op10_packing,
 )} | {"pipeline": corpus_pipeline.run}
 
-ORACLE_SQL: dict[str, str] = {"op6_topk_search": topk.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op4_warc": warc.ORACLE, "op6_topk_search": topk.ORACLE}
