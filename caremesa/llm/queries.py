@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from caremesa.llm import packing, quality, sharding, simhash, topk, toxicity, warc
+from caremesa.llm import htmltext, packing, quality, sharding, simhash, topk, toxicity, warc
 from caremesa.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return htmltext.extract(table(spark, folder, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
@@ -38,7 +42,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {query.__name__: query for query in (
-    op1_sharding, op4_warc, op5_simhash, op6_topk_search, op7_toxicity, op9_quality_rules, op10_packing,
+    op1_sharding, op4_warc, op5_simhash, op6_topk_search, op7_toxicity, op8_html_text, op9_quality_rules, op10_packing,
 )} | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL: dict[str, str] = {"op4_warc": warc.ORACLE, "op6_topk_search": topk.ORACLE}
