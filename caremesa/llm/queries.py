@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from caremesa.llm import bpe, htmltext, packing, quality, sharding, simhash, topk, toxicity, warc
+from caremesa.llm import bpe, htmltext, licenses, packing, quality, sharding, simhash, topk, toxicity, warc
 from caremesa.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents"))
 
@@ -46,7 +50,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {query.__name__: query for query in (
-    op1_sharding, op3_byte_bpe, op4_warc, op5_simhash, op6_topk_search, op7_toxicity, op8_html_text, op9_quality_rules, op10_packing,
+    op1_sharding, op2_license_scan, op3_byte_bpe, op4_warc, op5_simhash, op6_topk_search, op7_toxicity, op8_html_text, op9_quality_rules, op10_packing,
 )} | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL: dict[str, str] = {"op4_warc": warc.ORACLE, "op6_topk_search": topk.ORACLE}
