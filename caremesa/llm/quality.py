@@ -94,12 +94,13 @@ def _statistics(text: pd.Series) -> pd.DataFrame:
 
 
 def _vector() -> list[Column]:
-    """The transformed statistics in steps of 1/STEP; of rows with at least one word."""
+    """The transformed statistics in steps of 1/STEP; null where there is no word."""
+    words, lines = F.nullif(c("n_words"), F.lit(0)), F.nullif(c("n_lines"), F.lit(0))
     ratios = [
-        F.log(c("word_chars") / c("n_words")),
-        F.sqrt(c("n_symbols") / c("n_words")),
-        F.sqrt(c("n_dup_lines") / c("n_lines")),
-        F.sqrt(c("n_repeat_words") / c("n_words")),
+        F.log(c("word_chars") / words),
+        F.sqrt(c("n_symbols") / words),
+        F.sqrt(c("n_dup_lines") / lines),
+        F.sqrt(c("n_repeat_words") / words),
     ]
     return [F.round(ratio * STEP).cast("bigint").alias(f"x{i}") for i, ratio in enumerate(ratios)]
 
