@@ -50,6 +50,7 @@ _SUSPECT = re.compile(
     rf"|[{_SIGNS}]{_LETTER}|{_LETTER}[{_SIGNS}]|({_LETTER})\1\1"
 )
 _TRIPLE = re.compile(r"(.)\1\1")
+_APART = re.compile(rf"\W*(?:[^\W_]|[{_SIGNS}])(?:[.\-_*](?:[^\W_]|[{_SIGNS}])){{3,}}(?![^\W_])")
 _SEPARATORS = " .-_*"
 _WORD = re.compile(rf"{_LETTER}+")
 _RUN = re.compile(r"(.)\1*", re.S)
@@ -182,7 +183,7 @@ class Restorer:
         if not _SUSPECT.search(token):
             return _WORD.findall(token)
         parts = [token[i : i + 200] for i in range(0, len(token), 200)]
-        spaced = [len(part) > 2 and all(sign in _SEPARATORS for sign in part[1::2]) for part in parts]
+        spaced = [bool(_APART.match(part)) for part in parts]
         return _WORD.findall("".join(map(self.decode, parts, spaced)))
 
     def tokens(self, text: str | None) -> list[str]:
@@ -327,25 +328,40 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[dict[str
         return pd.Series([sorted(numbers[f] for f in features(own.words(t)) if f in numbers) for t in text], dtype=object)
 
     toxic = rows.where("toxic = 1").select(F.pandas_udf(found, "array<int>")("text").alias("f"))
-    # of at most FIT_ROWS rows; those with the same features count together
-    covered = [(row["f"], row["n"]) for row in toxic.groupBy("f").agg(F.count(F.lit(1)).alias("n")).collect()]
-    total = sum(n for _, n in covered)
-    chosen: dict[str, float] = {}
-    while True:  # greedy cover: what marks most of the rest and fewest clean rows; of equals the most specific one
-        gain: Counter = Counter()
-        for marked, n in covered:
-            for f in marked:
-                gain[f] += n
-        for f in gain:
-            gain[f] -= listed[f][2] - listed[f][1]
-        best = max(gain, key=lambda f: (gain[f], len(listed[f][0]), listed[f][0]), default=None)
-        if best is None or gain[best] < max(2, total // 500):
+    # of about FIT_ROWS rows at most; those with the same features count together
+    marked = [(row["f"], row["n"]) for row in toxic.groupBy("f").agg(F.count(F.lit(1)).alias("n")).collect()]
+    chosen = cover(listed, marked)
+    total = sum(n for _, n in marked)
+    missed = sum(n for found_in, n in marked if not any(listed[f][0] in chosen for f in found_in))
+    clean = max(1, rows.count() - total)
+    return chosen, min(0.25, (missed + 0.1) / (missed + clean + 1))
+
+
+def cover(listed: list[tuple[str, int, int]], marked: list[tuple[list[int], int]]) -> dict[str, float]:
+    """Greedy choice among ``listed`` (feature, toxic rows, rows); ``marked``: the features of toxic rows, and their number.
+
+    A row counts half as much with each choice that marks it, so that every telling word is
+    found and the chance words of a text with many copies are not. Of words with the same
+    beginning one is chosen; of equals the most specific one.
+    """
+    bare = [feature.rpartition("#")[0].lstrip("=") for feature, _, _ in listed]
+    weights, chosen = [float(n) for _, n in marked], {}
+    left = set(range(len(listed)))
+    least = max(2.0, sum(weights) / 100)
+    while left:
+        gain = dict.fromkeys(left, 0.0)
+        for (features, _), weight in zip(marked, weights):
+            for f in features:
+                if f in gain:
+                    gain[f] += weight
+        best = max(gain, key=lambda f: (gain[f] - (listed[f][2] - listed[f][1]), len(listed[f][0]), listed[f][0]))
+        if gain[best] - (listed[best][2] - listed[best][1]) < least:
             break
         feature, t, n = listed[best]
         chosen[feature] = (t + 0.5) / (n + 1)
-        covered = [(marked, n) for marked, n in covered if best not in marked]
-    missed, clean = sum(n for _, n in covered), max(1, rows.count() - total)
-    return chosen, min(0.25, (missed + 0.1) / (missed + clean + 1))
+        weights = [weight / 2 if best in features else weight for (features, _), weight in zip(marked, weights)]
+        left = {f for f in left if not bare[f].startswith(bare[best]) and not bare[best].startswith(bare[f])}
+    return chosen
 
 
 def with_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
