@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caremesa.operators.settled import settled
+from caremesa.sources.shared import settled
 
 c = F.col
 BUCKETS = 64

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caremesa.functions import month_start, percent, whole_average, wide_average, zero
 from caremesa.operators import ordered
-from caremesa.operators.settled import settled
+from caremesa.sources.shared import settled
 from caremesa.plans import kpis, reports, views
 from caremesa.plans.views import HIGH, count_if, rows
 from caremesa.sources.tables import Tables
@@ -170,7 +170,7 @@ def _denial_rate() -> Column:
 
 def denial_rate_vs_enterprise(tables: Tables, as_of=None) -> DataFrame:
     """Q13"""
-    monthly = settled(kpis.claim_denial_monthly(tables))
+    monthly = kpis.claim_denial_monthly(tables)  # one exchange feeds the rows and the rate
     enterprise = monthly.agg(_denial_rate().alias("r")).scalar()
     return monthly.select(
         "KPI_Month", "HospitalName", "PayerName", "TotalClaims", "DeniedClaims", "DenialRatePercent",
@@ -331,10 +331,8 @@ def productivity_quartiles(tables: Tables, as_of=None) -> DataFrame:
 
 def provider_vs_hospital(tables: Tables, as_of=None) -> DataFrame:
     """Q26: the hospital mean is an aggregate joined back, not a window."""
-    providers = settled(
-        kpis.provider_productivity(tables).select(
-            "ProviderID", "ProviderName", "HospitalID", "HospitalName", "TotalEncounters"
-        )
+    providers = kpis.provider_productivity(tables).select(
+        "ProviderID", "ProviderName", "HospitalID", "HospitalName", "TotalEncounters"
     )
     means = providers.groupBy("HospitalID").agg(whole_average(c("TotalEncounters")).alias("mean"))
     return (
@@ -426,7 +424,7 @@ def scorecard_unpivot(tables: Tables, as_of) -> DataFrame:
 
 def month_calendar(tables: Tables, as_of) -> DataFrame:
     """Q32: every month from the first to the last, gaps filled with zero."""
-    monthly = settled(kpis.revenue_cycle_monthly(tables, as_of).select("KPI_Month", "TotalCollectedAmount"))
+    monthly = kpis.revenue_cycle_monthly(tables, as_of).select("KPI_Month", "TotalCollectedAmount")
     months = F.sequence(F.min("KPI_Month"), F.max("KPI_Month"), F.expr("interval 1 month"))
     calendar = monthly.agg(months.alias("m")).select(F.explode("m").alias("CalendarMonth"))
     return (
@@ -449,7 +447,7 @@ def providers_without_claims(tables: Tables, as_of=None) -> DataFrame:
 
 def hospitals_above_enterprise_denial(tables: Tables, as_of=None) -> DataFrame:
     """Q34: the enterprise rate is summed from the hospital rows."""
-    hospitals = settled(
+    hospitals = (
         kpis.claim_denial_monthly(tables)
         .groupBy("HospitalName")
         .agg(

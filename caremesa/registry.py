@@ -11,6 +11,7 @@ from caremesa.operators import integrity, loading, profile, quality, risk_model
 from caremesa.plans import kpis, library, reports, rules, views
 from caremesa.sources import files
 from caremesa.sources.derived import AS_OF, derived_tables
+from caremesa.sources.shared import shared_folder
 from caremesa.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,7 +142,7 @@ def _number_series(t: Tables) -> DataFrame:
 
 
 def _exported(t: Tables) -> tuple[str, dict[str, str]]:
-    folder = files.scratch_folder(t.spark)
+    folder = shared_folder(t.spark)
     return folder, files.export_extracts(t, folder)
 
 
@@ -156,7 +157,7 @@ def _csv_sink(t: Tables) -> DataFrame:
 
 
 def _csv_source(t: Tables) -> DataFrame:
-    folder = files.scratch_folder(t.spark)
+    folder = shared_folder(t.spark)
     files.write_csv(files.extract(t, "claims"), folder, "claims")
     return files.read_csv(t.spark, folder, "claims").select(
         F.col("ClaimID").cast("bigint"), "ClaimNumber", F.col("PatientID").cast("bigint"), "ClaimType", "ClaimStatus"

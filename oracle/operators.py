@@ -234,12 +234,12 @@ LOADING: dict[str, str] = {
     "E03": """select n from range(1, (select count(*) from clinical_patient) + 1) t(n)
               where not exists (select 1 from insurance_claim where ClaimID = n)""",
     **{
-        f"E04_{dataset}": f"select * from {table} order by {key} limit 1000"
-        for dataset, (table, key, _) in EXTRACTS.items()
+        f"E04_{dataset}": f"select * from {table}"
+        for dataset, (table, _, _) in EXTRACTS.items()
     },
-    "E05": _extract_counts("'{dataset}' as dataset, 'SAVED' as status, least(count(*), 1000) as \"rows\""),
-    "E06": "select ClaimID, ClaimNumber, PatientID, ClaimType, ClaimStatus from insurance_claim order by ClaimID limit 1000",
-    "E07": _extract_counts("'{dataset}' as dataset, least(count(*), 1000) as \"rows\", {width} as \"columns\""),
+    "E05": _extract_counts("'{dataset}' as dataset, 'SAVED' as status, count(*) as \"rows\""),
+    "E06": "select ClaimID, ClaimNumber, PatientID, ClaimType, ClaimStatus from insurance_claim",
+    "E07": _extract_counts("'{dataset}' as dataset, count(*) as \"rows\", {width} as \"columns\""),
     "E08": """select EncounterNumber, EncounterID, PatientID from clinical_encounter e
               where not exists (select 1 from insurance_claim c where c.EncounterID = e.EncounterID)""",
     "E09": """with p as (select ProviderID, row_number() over (order by ProviderID) - 1 as rn, count(*) over () as cnt from hospital_provider),
