@@ -73,6 +73,43 @@ def _month_bounds(first: dt.date, last: dt.date) -> kpis.Period:
     return start, after
 
 
+# Tables with one row or more for each patient, and the child tables of invoices and encounters.
+PATIENT_FACTS = (
+    "clinical_patientaddress", "clinical_encounter", "clinical_diagnosis", "insurance_patientcoverage", "ai_prediction",
+    "billing_invoice",
+)
+INVOICE_FACTS = ("billing_invoiceline", "billing_paymentallocation")
+ENCOUNTER_FACTS = ("clinical_diagnosis", "clinical_procedure", "clinical_medicationorder")
+# What carries the date of a report -> its key, date and child tables.
+DATED = {
+    "insurance_claim": ("ClaimID", "ServiceStartDate", ("insurance_claimline",)),
+    "billing_invoice": ("InvoiceID", "InvoiceDate", INVOICE_FACTS),
+    "telehealth_virtualvisit": ("VirtualVisitID", "ScheduledStartDateTimeUTC", ("telehealth_sessionevent",)),
+}
+
+
+def _of_patient(tables: Tables, patient_id: int | None, mrn: str | None) -> Tables:
+    """Tables with the facts of one patient only, children included."""
+    known = tables.read("clinical_patient", "PatientID", "MedicalRecordNumber")
+    patients = _matching(known, PatientID=patient_id, MedicalRecordNumber=mrn).select("PatientID")
+    invoices = tables.read("billing_invoice", "InvoiceID", "PatientID").join(patients, "PatientID", "left_semi").select("InvoiceID")
+    return tables.narrowed(
+        {name: ("PatientID", patients) for name in PATIENT_FACTS} | {name: ("InvoiceID", invoices) for name in INVOICE_FACTS}
+    )
+
+
+def _of_period(tables: Tables, period: kpis.Period, *parents: str) -> Tables:
+    """Tables whose child facts belong to parents of the period; an open period cuts nothing."""
+    if period == kpis.ALWAYS:
+        return tables
+    keys = {}
+    for parent in parents:
+        key, date, children = DATED[parent]
+        wanted = kpis.within(tables.read(parent, key, date), date, period).select(key)
+        keys |= {child: (key, wanted) for child in children}
+    return tables.narrowed(keys)
+
+
 def _months(frame: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """Months from that of the first date to that of the last, both whole."""
     return frame.where(c("KPI_Month").between(F.lit(first.replace(day=1)), F.lit(last.replace(day=1))))
@@ -86,15 +123,16 @@ def enterprise_dashboard(tables: Tables, as_of) -> DataFrame:
 def patient_360(tables: Tables, as_of, patient_id: int | None = None, mrn: str | None = None) -> DataFrame:
     """P02"""
     _require(patient_id is not None or mrn is not None, 51001)
-    return _matching(views.patient_360(tables, as_of), PatientID=patient_id, MedicalRecordNumber=mrn)
+    own = _of_patient(tables, patient_id, mrn)
+    return _matching(views.patient_360(own, as_of), PatientID=patient_id, MedicalRecordNumber=mrn)
 
 
 def hospital_performance(tables: Tables, as_of=None, hospital_id: int | None = None, start=None, end=None) -> DataFrame:
     """P03"""
     first, last = _period(start, end, 51002)
-    frame = _matching(
-        kpis.hospital_monthly_performance(tables, _month_bounds(first, last)), HospitalID=hospital_id
-    )
+    period = _month_bounds(first, last)
+    own = _of_period(tables, period, "insurance_claim", "telehealth_virtualvisit")
+    frame = _matching(kpis.hospital_monthly_performance(own, period), HospitalID=hospital_id)
     return _months(frame, first, last).orderBy("KPI_Month", "HospitalID")
 
 
@@ -114,9 +152,9 @@ def claim_denial_report(
     """P05"""
     first, last = _period(start, end, 51004)
     _require(0 <= min_rate <= 100, 51005)
-    frame = _matching(
-        kpis.claim_denial_monthly(tables, _month_bounds(first, last)), HospitalName=hospital_name, PayerName=payer_name
-    )
+    period = _month_bounds(first, last)
+    own = _of_period(tables, period, "insurance_claim")
+    frame = _matching(kpis.claim_denial_monthly(own, period), HospitalName=hospital_name, PayerName=payer_name)
     floor = F.lit(Decimal(str(min_rate))).cast("decimal(9,2)")
     return (
         _months(frame, first, last)
@@ -128,9 +166,9 @@ def claim_denial_report(
 def monthly_revenue_cycle(tables: Tables, as_of, start=None, end=None) -> DataFrame:
     """P06"""
     first, last = _period(start, end, 51006)
-    return _months(
-        kpis.revenue_cycle_monthly(tables, as_of, _month_bounds(first, last)), first, last
-    ).orderBy("KPI_Month")
+    period = _month_bounds(first, last)
+    own = _of_period(tables, period, "insurance_claim", "billing_invoice")
+    return _months(kpis.revenue_cycle_monthly(own, as_of, period), first, last).orderBy("KPI_Month")
 
 
 def telehealth_operations(
@@ -138,9 +176,9 @@ def telehealth_operations(
 ) -> DataFrame:
     """P07"""
     first, last = _period(start, end, 51007)
-    frame = _matching(
-        kpis.telehealth_monthly(tables, _month_bounds(first, last)), HospitalID=hospital_id, DepartmentID=department_id
-    )
+    period = _month_bounds(first, last)
+    own = _of_period(tables, period, "telehealth_virtualvisit")
+    frame = _matching(kpis.telehealth_monthly(own, period), HospitalID=hospital_id, DepartmentID=department_id)
     return _months(frame, first, last).orderBy("KPI_Month", "HospitalID", "DepartmentID")
 
 
@@ -170,10 +208,11 @@ def patient_encounter_history(tables: Tables, as_of=None, patient_id: int | None
     """P10"""
     _require(patient_id is not None, 51010)
     first, last = _period(start, end, 51011)
-    frame = _matching(views.encounter_details(tables), PatientID=patient_id)
-    start = None if first == FIRST_DATE else first
-    after = None if last == LAST_DATE else last + dt.timedelta(days=1)
-    frame = kpis.within(frame, "AdmissionDateTimeUTC", (start, after))
+    period = None if first == FIRST_DATE else first, None if last == LAST_DATE else last + dt.timedelta(days=1)
+    admitted = tables.read("clinical_encounter", "EncounterID", "PatientID", "AdmissionDateTimeUTC")
+    wanted = kpis.within(_matching(admitted, PatientID=patient_id), "AdmissionDateTimeUTC", period).select("EncounterID")
+    own = tables.narrowed({name: ("EncounterID", wanted) for name in ENCOUNTER_FACTS})
+    frame = kpis.within(_matching(views.encounter_details(own), PatientID=patient_id), "AdmissionDateTimeUTC", period)
     frame = frame.where(F.to_date("AdmissionDateTimeUTC").between(F.lit(first), F.lit(last)))
     return frame.orderBy(c("AdmissionDateTimeUTC").desc(), c("EncounterID").desc())
 
@@ -183,7 +222,8 @@ def patient_billing_detail(
 ) -> DataFrame:
     """P11"""
     _require(patient_id is not None or mrn is not None, 51012)
-    frame = _matching(views.patient_billing_summary(tables, as_of), PatientID=patient_id, MedicalRecordNumber=mrn)
+    own = _of_patient(tables, patient_id, mrn)
+    frame = _matching(views.patient_billing_summary(own, as_of), PatientID=patient_id, MedicalRecordNumber=mrn)
     if only_outstanding:
         frame = frame.where(c("OutstandingAmount") > 0)
     return frame.orderBy(c("InvoiceDate").desc(), c("InvoiceID").desc())

@@ -103,7 +103,9 @@ ROW_RULES = [
             "No Show", "Disconnected"),
     _not_before("telehealth_virtualvisit", "ScheduledEndDateTimeUTC", "ScheduledStartDateTimeUTC"),
     _not_before("telehealth_virtualvisit", "ActualEndDateTimeUTC", "ActualStartDateTimeUTC"),
-    _filled_if("telehealth_virtualvisit", "IsInterpreterRequired", "InterpreterLanguage"),
+    _rule("telehealth_virtualvisit", "InterpreterLanguage.filled",
+          "(not IsInterpreterRequired and InterpreterLanguage is null) or "
+          "(IsInterpreterRequired and coalesce(trim(InterpreterLanguage), '') <> '')"),
     _positive("telehealth_sessionevent", "EventSequenceNumber"),
     _one_of("telehealth_sessionevent", "EventType", "Session Created", "Patient Joined", "Provider Joined",
             "Interpreter Joined", "Connection Lost", "Connection Restored", "Session Started", "Session Ended",

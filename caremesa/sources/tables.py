@@ -34,6 +34,24 @@ class Tables:
             raise KeyError(f"Unknown table: {name}")
         return self._readers[name](columns)
 
+    def narrowed(self, keys: Mapping[str, tuple[str, DataFrame]]) -> Tables:
+        """These tables, some cut to the rows whose key is among given ones.
+
+        ``keys`` gives (column, frame of that column) for each table to be cut. The cut is
+        a semi join at the scan, so that only rows of interest are aggregated.
+        """
+
+        def reader(name: str) -> Reader:
+            column, wanted = keys[name]
+
+            def load(columns: tuple[str, ...]) -> DataFrame:
+                asked = tuple(dict.fromkeys((*columns, column))) if columns else ()
+                return _narrow(self.read(name, *asked).join(wanted, column, "left_semi"), columns)
+
+            return load
+
+        return Tables(self.spark, self._readers | {name: reader(name) for name in keys if name in self})
+
 
 def _narrow(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return frame.select(*columns) if columns else frame

@@ -34,3 +34,14 @@ def test_top_n_is_a_distributed_top_k(spark):
 
 def test_patient_filter_reaches_the_scans(spark):
     assert "PushedFilters: [IsNotNull(c_custkey), EqualTo(c_custkey,1)]" in plan(spark, "P02")
+
+
+@pytest.mark.parametrize("key", [name for name in QUERIES if name[:3] in ("P02", "P10", "P11")])
+def test_child_facts_are_cut_before_they_are_aggregated(spark, key):
+    lines = plan(spark, key).splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*("))
+    cuts = [i for i, line in enumerate(lines) if "LeftSemi" in line]
+    assert cuts
+    for cut in cuts[-1:]:
+        above = [line for line in lines[:cut] if depth(line) < depth(lines[cut])]
+        assert any("HashAggregate" in line for line in above)
