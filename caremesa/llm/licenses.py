@@ -49,6 +49,8 @@ LEVEL = 6
 BINDING = frozenset("apache mit gnu gpl general lesser affero cc by nc sa nd noncommercial sharealike noderivatives mozilla mpl bsd not no non".split())
 
 _CUE = re.compile(r"licen[cs]|copyright|redistribut|permission is hereby|public domain|creative commons|free software", re.I)
+#: Each cue holds one of these; plain search rules out most texts.
+_SIGNS = ("licen", "copyright", "redistribut", "permission", "public domain", "creative", "free software")
 _START = re.compile(r"(?:\A|\n|(?<=[.!?;:])[^\S\n]+)\s*")
 _WORD = re.compile(r"\w+", re.A)
 
@@ -108,9 +110,14 @@ def candidates(text: str, longest: int) -> Iterator[tuple[int, str]]:
             yield start, text[start : max(stop, start)]
 
 
+def _may_hold(text: str) -> bool:
+    lowered = text.lower()
+    return any(sign in lowered for sign in _SIGNS)
+
+
 def notices(text: str | None, templates: Mapping[str, str] = TEMPLATES) -> list[tuple[int, str, int, int, str, int]]:
     """Confirmed notices: offset, template, words, number of differences, differences, bytes saved."""
-    if not text or not _CUE.search(text):
+    if not text or not _may_hold(text) or not _CUE.search(text):
         return []
     known = _compressors(tuple(templates.items()))
     longest = max(len(words) for _, words, _ in known)
@@ -160,6 +167,9 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, carry: Seque
     def read(text: pd.Series) -> pd.Series:
         return pd.Series([notices(t, chosen) for t in text], dtype=object)
 
-    found = docs.select(*carry, F.explode(F.pandas_udf(read, _NOTICE)("text")).alias("_notice")).select(*carry, "_notice.*")
+    # not deterministic by name only: else Spark would infer a filter from the explode and run the function twice
+    reader = F.pandas_udf(read, _NOTICE).asNondeterministic()
+    read_once = docs.select(*carry, reader("text").alias("_notices"))
+    found = read_once.select(*carry, F.explode("_notices").alias("_notice")).select(*carry, "_notice.*")
     rest = ("template", "n_words", "n_differences", "differences", "bytes_saved")
     return found.select(*carry, "start", F.substring_index("template", " ", 1).alias("license"), *[c(name) for name in rest])
