@@ -34,6 +34,9 @@ class Tables:
             raise KeyError(f"Unknown table: {name}")
         return self._readers[name](columns)
 
+    def columns(self, name: str) -> list[str]:
+        return self.read(name).columns
+
     def narrowed(self, keys: Mapping[str, tuple[str, DataFrame]]) -> Tables:
         """These tables, some cut to the rows whose key is among given ones.
 

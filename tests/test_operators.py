@@ -201,3 +201,24 @@ def test_classification_report(spark):
     assert got["accuracy"][0] == round(5 / 7, 4)
     assert got["macro avg"] == (0.4722, 0.5833, 0.5167, 7)
     assert got["weighted avg"][0] == round((0.75 * 4 + 2 / 3 * 2) / 7, 4)
+
+
+def test_rules_with_absent_columns_are_not_checked_and_keys_may_be_text(spark):
+    tables = frame_tables(spark, {
+        "child": spark.createDataFrame([("a", 1), ("a", 1), ("z", 2), (None, 3)], "code string, n int"),
+        "parent": spark.createDataFrame([("a",), ("b",)], "code string"),
+    })
+    reference = [
+        integrity.ReferenceRule("text", "child", ("code",), "parent", ("code",)),
+        integrity.ReferenceRule("no parent column", "child", ("code",), "parent", ("other",)),
+    ]
+    keys = [integrity.KeyRule("here", "child", ("code", "n")), integrity.KeyRule("gone", "child", ("other",))]
+    rows = [integrity.RowRule("positive", "child", "n > 1"), integrity.RowRule("gone too", "child", "other > 1")]
+    found = {r.RuleName: r.Violations for check in (
+        integrity.check_references(tables, reference), integrity.check_keys(tables, keys), integrity.check_rows(tables, rows, "2000-01-01")
+    ) for r in check.collect()}
+    assert found == {"text": 1, "here": 1, "positive": 2}
+    report = integrity.stack([integrity.check_keys(tables, keys)])
+    assert {r.RuleName: r.RuleStatus for r in integrity.open_rules(report, [*reference, *keys, *rows], tables).collect()} == {
+        "here": "FAIL", "gone": "NOT CHECKED", "gone too": "NOT CHECKED", "no parent column": "NOT CHECKED"
+    }
