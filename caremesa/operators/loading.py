@@ -83,16 +83,17 @@ def with_group_minimum(frame: DataFrame, keys: Sequence[str], candidates: DataFr
 
 
 def top_groups(
-    frame: DataFrame, keys: Sequence[str], amount: str, total: str, order: str, limit: int, number: str = "rn"
+    frame: DataFrame, details: DataFrame, amount: str, total: str, order: str, limit: int, number: str = "rn"
 ) -> DataFrame:
     """The first ``limit`` groups with their total, numbered in key order.
 
-    The limit is a distributed top-k; only its result is numbered.
+    ``frame`` has one row per key, ``details`` the amounts. The first keys with a detail
+    are a distributed top-k; only their details are summed, and only they are numbered.
     """
-    grouped = frame.groupBy(*keys).agg(F.sum(amount).alias(total))
-    return grouped.orderBy(order).limit(limit).withColumn(
-        number, F.row_number().over(Window.orderBy(order)).cast("bigint")
-    )
+    with_details = frame.join(details.select(order), order, "left_semi")
+    first = with_details.orderBy(order).limit(limit)
+    grouped = first.join(details, order).groupBy(*frame.columns).agg(F.sum(amount).alias(total))
+    return grouped.withColumn(number, F.row_number().over(Window.orderBy(order)).cast("bigint"))
 
 
 def register_views(frames: Mapping[str, DataFrame]) -> list[str]:

@@ -240,8 +240,9 @@ LOADING: dict[str, str] = {
     "E05": _extract_counts("'{dataset}' as dataset, 'SAVED' as status, count(*) as \"rows\""),
     "E06": "select ClaimID, ClaimNumber, PatientID, ClaimType, ClaimStatus from insurance_claim",
     "E07": _extract_counts("'{dataset}' as dataset, count(*) as \"rows\", {width} as \"columns\""),
-    "E08": """select EncounterNumber, EncounterID, PatientID from clinical_encounter e
-              where not exists (select 1 from insurance_claim c where c.EncounterID = e.EncounterID)""",
+    "E08": """select EncounterNumber, EncounterID, PatientID,
+                     if(exists (select 1 from insurance_claim c where c.EncounterID = e.EncounterID), 0, 1) as Run
+              from clinical_encounter e""",
     "E09": """with p as (select ProviderID, row_number() over (order by ProviderID) - 1 as rn, count(*) over () as cnt from hospital_provider),
                    n as (select PatientID, MedicalRecordNumber, row_number() over (order by PatientID) as n from clinical_patient)
               select PatientID, MedicalRecordNumber, ProviderID from n join p on rn = (n - 1) % cnt""",
