@@ -283,6 +283,23 @@ def _coerced(t: Tables) -> DataFrame:
     return risk_model.coerce_numeric(risk_model.select_features(_predictions(t)))
 
 
+def _stored_report(t: Tables) -> DataFrame:
+    """The report of M09 on the classes that are stored with predictions and outcomes."""
+    stored = views.prediction_performance(t).where("ActualClass is not null and PredictedClass is not null")
+    report = risk_model.classification_report(stored, "ActualClass", "PredictedClass")
+    rounded = [F.round(name, 6).alias(name) for name in ("Precision", "Recall", "F1Score")]
+    return report.select("Class", *rounded, F.col("Support").cast("bigint").alias("Support"))
+
+
+def _split_sizes(t: Tables) -> DataFrame:
+    """Training and test rows of each class, which M07 and M08 work on."""
+    split = RISK_MODEL["M06"](t)
+    tested = F.sum(F.col("IsTest").cast("int"))
+    return split.groupBy(risk_model.TARGET).agg(
+        (F.count(F.lit(1)) - tested).alias("TrainingRows"), tested.alias("TestRows")
+    )
+
+
 RISK_MODEL: dict[str, Callable[[Tables], DataFrame]] = {
     "M01": lambda t: risk_model.select_features(_predictions(t)),
     "M02": _coerced,
@@ -295,6 +312,8 @@ RISK_MODEL: dict[str, Callable[[Tables], DataFrame]] = {
     "M07": lambda t: risk_model.forest_summary(risk_model.fit(_predictions(t))),
     "M08": lambda t: risk_model.accuracy_report(risk_model.predict(risk_model.fit(_predictions(t)))),
     "M09": lambda t: risk_model.classification_report(risk_model.predict(risk_model.fit(_predictions(t)))),
+    "M07_split": _split_sizes,
+    "M09_stored": _stored_report,
     "M10": lambda t: risk_model.feature_importance(risk_model.fit(_predictions(t))),
 }
 

@@ -286,4 +286,28 @@ RISK_MODEL: dict[str, str] = {
                      row_number() over (partition by PredictedClass order by md5(PredictionID::varchar || '-42'), PredictionID)
                        <= floor(count(*) over (partition by PredictedClass) * 0.2 + 0.5) as IsTest
               from ai_prediction where PredictedClass is not null""",
+    "M07_split": """with split as (select PredictedClass,
+                        row_number() over (partition by PredictedClass order by md5(PredictionID::varchar || '-42'), PredictionID)
+                          <= floor(count(*) over (partition by PredictedClass) * 0.2 + 0.5) as IsTest
+                      from ai_prediction where PredictedClass is not null)
+              select PredictedClass, count(*) filter (not IsTest) as TrainingRows, count(*) filter (IsTest) as TestRows
+              from split group by 1""",
+    "M09_stored": """with pairs as (select ActualClass as a, PredictedClass as p from v09
+                        where ActualClass is not null and PredictedClass is not null),
+                   classes as (select a as k from pairs union select p from pairs),
+                   counts as (select k, count(*) filter (a = k) as Support, count(*) filter (p = k) as said,
+                        count(*) filter (a = k and p = k) as hits from classes, pairs group by k),
+                   ratios as (select *, if(said > 0, hits / said, 0) as pr, if(Support > 0, hits / Support, 0) as re from counts),
+                   scored as (select *, if(pr + re > 0, 2 * pr * re / (pr + re), 0) as f1 from ratios),
+                   reported as (
+                     select k as Class, pr, re, f1, Support from scored
+                     union all
+                     select 'accuracy', sum(hits) / sum(Support), sum(hits) / sum(Support), sum(hits) / sum(Support), sum(Support) from scored
+                     union all
+                     select 'macro avg', avg(pr), avg(re), avg(f1), sum(Support) from scored
+                     union all
+                     select 'weighted avg', sum(pr * Support) / sum(Support), sum(re * Support) / sum(Support),
+                       sum(f1 * Support) / sum(Support), sum(Support) from scored)
+              select Class, round(pr, 6) as Precision, round(re, 6) as Recall, round(f1, 6) as F1Score, Support::bigint as Support
+              from reported""",
 }
