@@ -183,12 +183,12 @@ def fit(statistics: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         parameters = _concentrate(vectors, parameters, H)
     parameters = _concentrate(vectors, parameters, None)
-    chosen = counted.select("lang", "source").distinct()
-    for level in (2, 1, 0):
-        own = parameters.where(c("n") >= MIN_ROWS).select(c("cell").alias(f"c{level}"), F.struct("centre", "inverse").alias(f"e{level}"))
-        chosen = chosen.join(own, _cell(level) == c(f"c{level}"), "left")
-    best = F.coalesce("e2", "e1", "e0")
-    return settle(chosen.select(c("lang").alias("_lang"), c("source").alias("_source"), best["centre"].alias("centre"), best["inverse"].alias("inverse")))
+    # the finest cell of each language and source that has enough rows
+    named = counted.select("lang", "source").distinct()
+    named = named.select("lang", "source", F.posexplode(F.array(*[_cell(k) for k in range(3)])).alias("level", "cell"))
+    chosen = named.join(parameters.where(c("n") >= MIN_ROWS), "cell").groupBy("lang", "source")
+    best = F.max_by(F.struct("centre", "inverse"), "level").alias("best")
+    return settle(chosen.agg(best).select(c("lang").alias("_lang"), c("source").alias("_source"), "best.*"))
 
 
 def judge(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
