@@ -80,5 +80,13 @@ def each_copy(numbers: DataFrame, name: str) -> DataFrame:
     return numbers.select("*", own).drop("_first", "_copies")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Keeps what a Python worker gets at once below 8 MB, unless the session sets a size of its own."""
+    setting, ordinary = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+    if int(spark.conf.get(setting).rstrip("b")) == ordinary:
+        spark.conf.set(setting, "8388608b")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -123,7 +123,7 @@ def _codes(option: str) -> tuple[int, ...]:
 class Restorer:
     """Reads texts as restored words; remembers the words it has read, up to a bound."""
 
-    def __init__(self, model: np.ndarray, remembered: int = 300_000) -> None:
+    def __init__(self, model: np.ndarray, remembered: int = 50_000) -> None:
         self.model, self.remembered = model.tolist(), remembered
         self.known: dict[str, list[str]] = {}
 
@@ -311,7 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[dict[str
                 rows.update(found)
                 if label:
                     toxic.update(found)
-                if len(rows) > 500_000:
+                if len(rows) > 50_000:
                     yield pd.DataFrame([(f, toxic[f], n) for f, n in rows.items()], columns=["feature", "t", "n"])
                     toxic, rows = Counter(), Counter()
         yield pd.DataFrame([(f, toxic[f], n) for f, n in rows.items()], columns=["feature", "t", "n"])
