@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -87,6 +90,27 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(setting, "8388608b")
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the Python workers, once per application, unless their PYTHONPATH has it."""
+    root = Path(__file__).resolve().parents[2]
+    context = spark.sparkContext
+    paths = filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))
+    if context.applicationId in _shipped or root in [Path(path).resolve() for path in paths]:
+        return
+    _shipped.add(context.applicationId)
+    # the driver's own folder will do: Spark hands the archive on to the executors
+    context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/caremesa", "zip", root, "caremesa"))
+
+
+def ready(spark: SparkSession) -> None:
+    """What the operators ask of a session."""
     small_batches(spark)
+    ship_package(spark)
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from caremesa.llm import packing, quality, simhash, toxicity
-from caremesa.llm.common import settle, small_batches, table
+from caremesa.llm.common import ready, settle, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a base rule or are outliers of their language and source go."""
-    small_batches(spark)
+    ready(spark)
     return quality.keep(docs)
 
 
