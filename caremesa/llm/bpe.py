@@ -16,6 +16,7 @@ import heapq
 import tempfile
 import threading
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -31,7 +32,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Characters of text that are worked on at once (a longer text alone), words a worker remembers, and bytes from
 #: which a word is merged with a heap: the query's rounds grow with the longest word.
-SLICE, REMEMBERED, LONG = 4_000_000, 500_000, 256
+SLICE, REMEMBERED, LONG = 4_000_000, 800_000, 256
 MEMORY = "512MB"
 
 _MERGE = """
@@ -143,15 +144,14 @@ class Codec:
         found = [self.pattern.findall(text) for text in texts]
         if len(self.known) > REMEMBERED:
             self._forget()
-        new = [word for word in dict.fromkeys(word for words in found for word in words) if word not in self.known]
+        new = list(set().union(*found).difference(self.known))
         if new:
             self._learn(new)
         sizes = [len(words) for words in found]
-        code = self.known.__getitem__
         occurrences = {
             "doc": np.repeat(np.arange(len(texts)), sizes),
             "place": np.arange(sum(sizes)),
-            "word": np.fromiter((code(word) for words in found for word in words), np.int32, sum(sizes)),
+            "word": np.fromiter(map(self.known.__getitem__, chain.from_iterable(found)), np.int32, sum(sizes)),
         }
         self.db.register("occurrences", pa.table(occurrences))
         self.db.register("docs", pa.table({"doc": np.arange(len(texts))}))
