@@ -2,9 +2,10 @@
 
 A document that passes the base rules is rejected when its vector of transformed text
 statistics lies far from those of its language and source. Location and scatter are
-minimum-covariance-determinant estimates: concentration steps take the share ``H`` of
-rows nearest to the current estimate and estimate anew from them, so that a minority of
-bad documents cannot pull the centre to itself. A last step reweights.
+minimum-covariance-determinant estimates: concentration steps take the nearer half of the
+rows, estimate anew from them, and go on until the determinant no longer falls. Of several
+starts the one with the smallest determinant is kept, so that bad documents cannot pull
+the centre to themselves while they are fewer than half. A last step reweights.
 
 All rows count in the estimates. Vectors are whole numbers (1/256 steps), so equal ones
 are counted together first and all sums are exact; each step is one aggregate over the
@@ -34,9 +35,12 @@ MIN_WORDS, REPEAT_PERCENT = 10, 20
 FLOORS = {"word_length": 0.10, "symbols": 0.08, "dup_lines": 0.20, "repeats": 0.20}
 DIMENSIONS = len(FLOORS)
 STEP = 256
-#: Share of a cell's rows that an estimate rests on, number of concentration steps, rows a cell needs for an
-#: estimate of its own (else its language's is taken, else that of all), chance that a regular row is rejected.
-H, STEPS, MIN_ROWS, TAIL = 0.75, 5, 50, 1e-6
+#: Share of a cell's rows that an estimate rests on (their number is (n + DIMENSIONS + 1) / 2), concentration steps
+#: before the first look whether an estimate still changes, rows a cell needs for an estimate of its own (else its
+#: language's is taken, else that of all), chance that a regular row is rejected.
+H, STEPS, MIN_ROWS, TAIL = 0.5, 5, 50, 1e-6
+#: Starts at single vectors of a cell, beside the two at its medians.
+POINTS = 4
 
 
 def _chi2_tail(x: float, dimensions: int) -> float:
@@ -110,11 +114,11 @@ def _cell(level: int) -> Column:
     return F.to_json(F.struct(F.lit(level).alias("level"), *[c(name) for name in ("lang", "source")[:level]]))
 
 
-_PARAMETERS = "cell string, n bigint, centre array<double>, inverse array<double>"
+_PARAMETERS = "cell string, start int, n bigint, centre array<double>, inverse array<double>, size double"
 
 
 def _estimates(frames: Iterator[pd.DataFrame], factor: float) -> Iterator[pd.DataFrame]:
-    """Centre and inverse scatter from the sums of each cell."""
+    """Centre, inverse scatter and logarithm of its determinant from the sums of each cell and start."""
     floor = np.diag([(STEP * f) ** 2 for f in FLOORS.values()])
     upper = np.triu_indices(DIMENSIONS)
     for frame in frames:
@@ -124,9 +128,10 @@ def _estimates(frames: Iterator[pd.DataFrame], factor: float) -> Iterator[pd.Dat
             scatter = np.zeros((DIMENSIONS, DIMENSIONS))
             scatter[upper] = np.array(row.products, float) / row.w
             scatter = np.triu(scatter) + np.triu(scatter, 1).T - np.outer(centre, centre)
-            inverse = np.linalg.inv(factor * scatter + floor)
-            found.append((row.cell, row.n, centre.tolist(), inverse.ravel().tolist()))
-        yield pd.DataFrame(found, columns=["cell", "n", "centre", "inverse"])
+            scatter = factor * scatter + floor
+            inverse, size = np.linalg.inv(scatter), np.linalg.slogdet(scatter)[1]
+            found.append((row.cell, row.start, row.n, centre.tolist(), inverse.ravel().tolist(), size))
+        yield pd.DataFrame(found, columns=["cell", "start", "n", "centre", "inverse", "size"])
 
 
 def _distance() -> Column:
@@ -137,7 +142,7 @@ def _distance() -> Column:
 
 
 def _concentrate(vectors: DataFrame, parameters: DataFrame, share: float | None) -> DataFrame:
-    """Estimates from the nearest ``share`` of each cell, or from the rows within the 97.5 % ellipse."""
+    """Estimates from the nearer half of each cell, where a share is given, or from the rows within the 97.5 % ellipse."""
     pairs = [(i, j) for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
     sums = [F.sum(c("w") * c(f"x{i}")).alias(f"s{i}") for i in range(DIMENSIONS)]
     sums += [F.sum(c("w") * c(f"x{i}") * c(f"x{j}")).alias(f"p{i}{j}") for i, j in pairs]
@@ -147,19 +152,56 @@ def _concentrate(vectors: DataFrame, parameters: DataFrame, share: float | None)
         measured = measured.where(c("d") <= chi2_quantile(0.025, DIMENSIONS))
     # rows of nearly the same distance are taken or left together, so ties don't matter
     ring = F.floor(F.log2(1 + F.greatest(c("d"), F.lit(0.0))) * 64).cast("int") if share else F.lit(0)
-    rings = measured.groupBy("cell", "n", ring.alias("ring")).agg(F.sum("w").alias("w"), *sums)
+    rings = measured.groupBy("cell", "start", "n", ring.alias("ring")).agg(F.sum("w").alias("w"), *sums)
     if share:
-        inner = Window.partitionBy("cell").orderBy("ring")
+        inner = Window.partitionBy("cell", "start").orderBy("ring")
         before = F.sum("w").over(inner) - c("w")
-        rings = rings.withColumn("_before", before).where(c("_before") < F.ceil(c("n") * share))
-    total = rings.groupBy("cell", "n").agg(*[F.sum(name).alias(name) for name in names])
+        enough = F.least(c("n"), F.floor((c("n") + DIMENSIONS + 1) * share))
+        rings = rings.withColumn("_before", before).where(c("_before") < enough)
+    total = rings.groupBy("cell", "start", "n").agg(*[F.sum(name).alias(name) for name in names])
     total = total.select(
-        "cell", "n", "w",
+        "cell", "start", "n", "w",
         F.array(*[c(f"s{i}") for i in range(DIMENSIONS)]).alias("sums"),
         F.array(*[c(f"p{i}{j}") for i, j in pairs]).alias("products"),
     )
     factor = _consistency(share or 0.975)
-    return settle(total.mapInPandas(lambda frames: _estimates(frames, factor), _PARAMETERS))
+    return total.mapInPandas(lambda frames: _estimates(frames, factor), _PARAMETERS)
+
+
+def _starts(vectors: DataFrame) -> DataFrame:
+    """First estimates of each cell: medians with scaled absolute deviations, medians with the floors, single vectors
+    (distinct ones, picked by a hash) with the floors. Medians are exact; their state is bounded by the number of steps."""
+    names = [f"x{i}" for i in range(DIMENSIONS)]
+    middle = vectors.groupBy("cell").agg(F.sum("w").alias("n"), *[F.percentile(name, F.lit(0.5), c("w")).alias(f"m{name}") for name in names])
+    middle = settle(middle)
+    off = vectors.join(middle, "cell").select("cell", "w", *[F.abs(c(name) - c(f"m{name}")).alias(name) for name in names])
+    spread = off.groupBy("cell").agg(*[F.percentile(name, F.lit(0.5), c("w")).alias(f"s{name}") for name in names])
+    points = vectors.groupBy("cell").agg(
+        *[F.min_by(F.array(*[c(name).cast("double") for name in names]), F.struct(F.xxhash64(F.lit(k), *names), *names)).alias(f"p{k}") for k in range(POINTS)],
+    )
+    floors = [STEP * floor for floor in FLOORS.values()]
+
+    def diagonal(scales: list[Column]) -> Column:
+        terms = [1 / (scale * scale) for scale in scales]
+        return F.array(*[terms[i] if i == j else F.lit(0.0) for i in range(DIMENSIONS) for j in range(DIMENSIONS)])
+
+    wide = diagonal([F.greatest(c(f"s{name}") * 1.4826, F.lit(floor)) for name, floor in zip(names, floors)])
+    narrow = diagonal([F.lit(floor) for floor in floors])
+    medians = F.array(*[c(f"m{name}") for name in names])
+    pairs = [(medians, wide), (medians, narrow), *[(c(f"p{k}"), narrow) for k in range(POINTS)]]
+    starts = F.array(*[F.struct(F.lit(k).alias("start"), centre.alias("centre"), inverse.alias("inverse")) for k, (centre, inverse) in enumerate(pairs)])
+    found = middle.join(spread, "cell").join(points, "cell").select("cell", "n", F.explode(starts).alias("_s"))
+    return found.select("cell", "_s.start", "n", "_s.centre", "_s.inverse", F.lit(math.inf).alias("size"), F.lit(True).alias("moves"))
+
+
+def _step(vectors: DataFrame, parameters: DataFrame) -> DataFrame:
+    """One concentration step of the starts that still move; one whose determinant does not fall stops where it is."""
+    moved = _concentrate(vectors, parameters.where("moves").drop("size", "moves"), H)
+    moved = moved.select("cell", "start", *[c(name).alias(f"_{name}") for name in ("centre", "inverse", "size")])
+    smaller = F.coalesce(c("_size") < c("size"), F.lit(False))
+    pick = [F.when(smaller, c(f"_{name}")).otherwise(c(name)).alias(name) for name in ("centre", "inverse", "size")]
+    joined = parameters.join(moved, ["cell", "start"], "left")
+    return settle(joined.select("cell", "start", "n", *pick, smaller.alias("moves")))
 
 
 def fit(statistics: DataFrame) -> DataFrame:
@@ -169,20 +211,15 @@ def fit(statistics: DataFrame) -> DataFrame:
     names = [f"x{i}" for i in range(DIMENSIONS)]
     cells = counted.select(F.explode(F.array(*[_cell(k) for k in (2, 1, 0)])).alias("cell"), "w", *names)
     vectors = settle(cells.groupBy("cell", *names).agg(F.sum("w").alias("w")))
-    # start: medians and quartile ranges; exact, their state is bounded by the number of steps
-    quartiles = [F.percentile(name, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), c("w")).alias(f"q{name}") for name in names]
-    start = vectors.groupBy("cell").agg(F.sum("w").alias("n"), *quartiles)
-    scales = [
-        1 / F.pow(F.greatest((c(f"q{name}")[2] - c(f"q{name}")[0]) / 1.349, F.lit(STEP * floor)), F.lit(2))
-        for name, floor in zip(names, FLOORS.values())
-    ]
-    diagonal = [scales[i] if i == j else F.lit(0.0) for i in range(DIMENSIONS) for j in range(DIMENSIONS)]
-    parameters = settle(
-        start.select("cell", "n", F.array(*[c(f"q{name}")[1] for name in names]).alias("centre"), F.array(*diagonal).alias("inverse"))
-    )
-    for _ in range(STEPS):
-        parameters = _concentrate(vectors, parameters, H)
-    parameters = _concentrate(vectors, parameters, None)
+    parameters = settle(_starts(vectors))
+    steps = 0
+    while steps < STEPS or not parameters.where("moves").isEmpty():
+        parameters = _step(vectors, parameters)
+        steps += 1
+    # the start of the smallest determinant; of equal ones the first
+    order = F.struct("size", "start")
+    best = parameters.groupBy("cell").agg(F.min_by(F.struct("start", "n", "centre", "inverse"), order).alias("best"))
+    parameters = settle(_concentrate(vectors, settle(best.select("cell", "best.*")), None))
     # the finest cell of each language and source that has enough rows
     named = counted.select("lang", "source").distinct()
     named = named.select("lang", "source", F.posexplode(F.array(*[_cell(k) for k in range(3)])).alias("level", "cell"))

@@ -94,3 +94,16 @@ def test_awkward_rows(spark):
     assert quality.judge(documents(spark).limit(0)).count() == 0
     kept = quality.keep(documents(spark))
     assert kept.columns == documents(spark).columns and kept.where("doc_id = 1").count() == 2
+
+
+def prose(seed, n=120):
+    """``n`` words without repeats of five."""
+    draw = np.random.default_rng(seed)
+    return ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), k)) for k in draw.choice([2, 3, 4, 5, 6, 8, 9], n)]
+
+
+def test_a_third_of_junk_copies_does_not_hide_itself(spark):
+    junk = " ".join(word + "###" for word in prose(0))
+    rows = [(k, " ".join(prose(k)) if k % 3 else junk, "en", "hot") for k in range(300)]
+    found = quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()
+    assert {r["kept"] for r in found if r["doc_id"] % 3} == {True} and {r["kept"] for r in found if r["doc_id"] % 3 == 0} == {False}
