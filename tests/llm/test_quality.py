@@ -107,3 +107,19 @@ def test_a_third_of_junk_copies_does_not_hide_itself(spark):
     rows = [(k, " ".join(prose(k)) if k % 3 else junk, "en", "hot") for k in range(300)]
     found = quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()
     assert {r["kept"] for r in found if r["doc_id"] % 3} == {True} and {r["kept"] for r in found if r["doc_id"] % 3 == 0} == {False}
+
+
+def test_each_statistic_alone_can_reject(spark):
+    lines = prose(1000, 30)
+    draw = np.random.default_rng(1)
+    passage = prose(1001, 9)
+    extreme = {
+        1000: " ".join(word * 5 for word in prose(1002)),
+        1001: " ".join(word + "***" for word in prose(1003)),
+        1002: "\n".join(draw.choice(lines, 600)),
+        1003: " ".join(passage + prose(1004, 40) + passage + prose(1005, 37)),
+    }
+    rows = [(k, " ".join(prose(k)), "en", "a") for k in range(200)] + [(k, text, "en", "a") for k, text in extreme.items()]
+    found = quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()
+    assert not any(r["base_failed"] for r in found)
+    assert {r["doc_id"] for r in found if not r["kept"]} == set(extreme)
