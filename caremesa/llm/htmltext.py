@@ -2,8 +2,9 @@
 
 The markup cuts a page into blocks. The first pass decides blocks by where they stand and
 by stop-word density, length and link density; short or otherwise doubtful blocks stay
-ambiguous. In the second pass these take the label of their nearest decided neighbour in
-the same part of the page.
+ambiguous. Outside the article, text has to be longer and denser. In the second pass
+ambiguous blocks take the label of their nearest decided neighbour in the same part of
+the page.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from caremesa.llm.common import c
 
 LONG, DENSE, LINKED = 70, 0.15, 0.34
+#: Outside the article or main element, where a page has one, a block has to be that many times as long and as dense.
+OUTSIDE = 2
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
@@ -50,6 +53,8 @@ OTHER_PARTS = frozenset(
     footer masthead toolbar pagination pager widget legal login signup search contentinfo complementary
     """.split()
 )
+# Whole blocks that announce an advert.
+AD_LABELS = frozenset("ad advert advertisement sponsored promoted anzeige werbung publicité annonce sponsorisé publicidad anuncio patrocinado".split())
 COMMENTS = frozenset("comment comments reply replies".split())
 MAIN = ("article", "main")
 
@@ -166,25 +171,45 @@ def blocks_of(page: str | None) -> list[Block]:
 
 def first_pass(block: Block, has_main: bool) -> int | None:
     """GOOD, BAD or OPEN by place, link density, length and stop-word density."""
-    if block.other or (has_main and not block.part):
+    if block.other or _is_ad_label(block):
         return BAD
     if block.linked > LINKED * len(block.text):
-        return OPEN if block.part else BAD
+        # an article's own title is often a link to it
+        return OPEN if block.part and block.heading else BAD
+    times = OUTSIDE if has_main and not block.part else 1
     words = _WORD.findall(block.text.lower())
-    if len(block.text) >= LONG and sum(w in STOP_WORDS for w in words) >= DENSE * len(words):
+    if len(block.text) >= times * LONG and sum(w in STOP_WORDS for w in words) >= times * DENSE * len(words):
         return GOOD
     return OPEN
 
 
+def _is_ad_label(block: Block) -> bool:
+    return len(block.text) < LONG and block.text.lower().strip(" .:-–—()[]") in AD_LABELS
+
+
+def first_labels(blocks: list[Block], has_main: bool) -> list[int | None]:
+    """The first pass over all blocks; an ambiguous one that follows the label of an advert is the advert."""
+    labels = [first_pass(block, has_main) for block in blocks]
+    for i in range(1, len(blocks)):
+        last, block = blocks[i - 1], blocks[i]
+        if labels[i] is OPEN and not block.heading and last.part == block.part and not last.other and _is_ad_label(last):
+            labels[i] = BAD
+    return labels
+
+
 def second_pass(blocks: list[Block], labels: list[int | None]) -> list[int]:
     """Open blocks take the label of the nearest decided block of their part; of two as near, GOOD wins inside an article.
 
-    A part without a decided block is text: markup has named it the article, or the page
-    has nothing else.
+    Ambiguous blocks of an article without a good block are text, as markup has named it the
+    article. So are those of a page without an article that has no decided block; beside an
+    article they are not.
     """
     result = list(labels)
+    has_main = any(block.part and not block.other for block in blocks)
     for indexes in _parts(blocks):
         decided = [i for i in indexes if labels[i] is not None and not blocks[i].other]
+        if blocks[indexes[0]].part and GOOD not in [labels[i] for i in decided]:
+            decided = []
         place = {i: k for k, i in enumerate(indexes)}
         at = 0
         for i in indexes:
@@ -194,7 +219,7 @@ def second_pass(blocks: list[Block], labels: list[int | None]) -> list[int]:
                 at += 1
             before, after = decided[at - 1] if at else None, decided[at] if at < len(decided) else None
             if before is None and after is None:
-                result[i] = GOOD
+                result[i] = GOOD if blocks[i].part or not has_main else BAD
             elif before is None or after is None:
                 result[i] = labels[after if before is None else before]
             elif labels[before] == labels[after]:
@@ -217,7 +242,7 @@ def main_text(page: str | None) -> str:
     """Good blocks joined by line feeds."""
     blocks = blocks_of(page)
     has_main = any(block.part and not block.other for block in blocks)
-    labels = [first_pass(block, has_main) for block in blocks]
+    labels = first_labels(blocks, has_main)
     return "\n".join(block.text for block, label in zip(blocks, second_pass(blocks, labels)) if label)
 
 

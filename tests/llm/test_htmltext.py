@@ -58,3 +58,21 @@ def test_awkward_rows(spark):
     found = sorted((r["page_id"] or 0, r["n_chars"]) for r in htmltext.extract(frame).collect())
     assert found == [(0, 1), (1, 0), (2, 0), (2, 0), (3, 499_999)]
     assert htmltext.extract(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # a list of links and an advert, both unmarked
+        (f"<article><h1><a href=/>T</a></h1><p>{GOOD}<ul><li><a href=a>more of this</a><li><a href=b>and that</a></ul><p>{GOOD}</article>", f"T\n{GOOD.strip()}\n{GOOD.strip()}"),
+        (f"<main><p>{GOOD}<div><a href=shop>New shoes, half price</a> today</div><p>{GOOD}</main>", f"{GOOD.strip()}\n{GOOD.strip()}"),
+        (f"<article><p>{GOOD}<div>Advertisement</div><div>Shoes, half price.</div><p>{GOOD}</article>", f"{GOOD.strip()}\n{GOOD.strip()}"),
+        # an ambiguous block stands among links
+        (f"<article><p>{GOOD}<p>near<div><a href=a>link</a></div><div>read on</div><div><a href=b>link</a></div></article>", f"{GOOD.strip()}\nnear"),
+        (f"<article><p>short<ul><li><a href=a>link</a></ul></article>", "short"),
+        # long and dense text beside the article, and other blocks there
+        (f"<article><p>x</article><p>{GOOD * 2}", f"x\n{(GOOD * 2).strip()}"), (f"<article><p>x</article><p>{GOOD}", "x"), ("<p>y</p><main>x</main>", "x"),
+    ],
+)
+def test_blocks_inside_and_outside_an_article_are_decided(page, text):
+    assert htmltext.main_text(page) == text
