@@ -41,7 +41,7 @@ def _byte_of() -> dict[str, int]:
 
 
 class Encoder:
-    """Token ids of whole texts as little-endian 32-bit numbers; strings of special tokens are ordinary text.
+    """Token ids of whole texts as little-endian 32-bit numbers; the string of an added token gets that token's id.
 
     The vocabulary's file says which tokens there are; a token's id is its rank in merging.
     tiktoken gives the same ids as the library that the file is made for, several times faster.
@@ -50,13 +50,13 @@ class Encoder:
     def __init__(self, vocabulary: str) -> None:
         with open(vocabulary, encoding="utf-8") as source:
             described = json.load(source)
-        special = {token["content"] for token in described["added_tokens"]}
+        special = {token["content"]: token["id"] for token in described["added_tokens"]}
         byte_of = _byte_of()
         ranks = {bytes(map(byte_of.__getitem__, token)): i for token, i in described["model"]["vocab"].items() if token not in special}
-        self.encoding = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.encoding = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(self, text: str | None) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text or ""), "<u4").tobytes()
+        return np.array(self.encoding.encode(text or "", allowed_special="all"), "<u4").tobytes()
 
 
 _own = threading.local()

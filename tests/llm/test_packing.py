@@ -100,3 +100,12 @@ def test_rows(spark, tokenizer, capacity):
 
 def test_empty_table(spark):
     assert packing.pack(documents(spark).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n b", "x  <|endoftext|>  y", "<|endoftext|", "<|endo<|endoftext|>", "aa<|ENDOFTEXT|>"],
+)
+def test_added_tokens_get_their_ids_as_in_the_library_by_default(text):
+    ids = np.frombuffer(packing.encoder(packing.VOCABULARY).encode(text), "<u4").tolist()
+    assert ids == Tokenizer.from_file(packing.VOCABULARY).encode(text, add_special_tokens=False).ids
