@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from caremesa.llm import bpe, fim, htmltext, licenses, packing, pii, quality, sharding, simhash, topk, toxicity, warc
+from caremesa.llm import bpe, fim, htmltext, licenses, packing, pii, quality, sharding, simhash, topk, toxicity, variants, warc
 from caremesa.llm.common import table
 
 
@@ -53,12 +53,16 @@ def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(table(spark, folder, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.group(table(spark, folder, "documents"), slips=97)
+
+
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fim.digests(table(spark, folder, "documents"))
 
 
 QUERIES = {query.__name__: query for query in (
-    op1_sharding, op2_license_scan, op3_byte_bpe, op4_warc, op5_simhash, op6_topk_search, op7_toxicity, op8_html_text, op9_quality_rules, op10_packing, op11_personal_data, op13_fill_in_middle,
+    op1_sharding, op2_license_scan, op3_byte_bpe, op4_warc, op5_simhash, op6_topk_search, op7_toxicity, op8_html_text, op9_quality_rules, op10_packing, op11_personal_data, op12_spelling_variants, op13_fill_in_middle,
 )} | {"pipeline": corpus_pipeline.run}
 
-ORACLE_SQL: dict[str, str] = {"op4_warc": warc.ORACLE, "op6_topk_search": topk.ORACLE, "op13_fill_in_middle": fim.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op4_warc": warc.ORACLE, "op6_topk_search": topk.ORACLE, "op12_spelling_variants": variants.ORACLE, "op13_fill_in_middle": fim.ORACLE}
