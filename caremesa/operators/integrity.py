@@ -1,202 +1,15 @@
-"""Row counts and integrity rules over the base tables.
-
-Rules are data: any list of rules can be passed in. The lists in
-``caremesa.plans.rules`` cover the tables the views use; a rule whose table or
-column is absent is reported as not checked.
-"""
+"""Row counts and orphan lists over the base tables (D35-D43); declared rules are in ``caremesa.operators.constraints``."""
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict
-from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caremesa.functions import flag
+from caremesa.operators.constraints import stack
 from caremesa.plans.kpis import side_by_side
 from caremesa.sources.tables import Tables
 
 c = F.col
-RESULT = "RuleName string, TableName string, Violations bigint"
-
-
-@dataclass(frozen=True)
-class RowRule:
-    """A row breaks the rule when ``predicate`` is false; unknown passes."""
-
-    name: str
-    table: str
-    predicate: str
-
-
-@dataclass(frozen=True)
-class KeyRule:
-    """``columns`` must be unique among the rows that meet ``condition``."""
-
-    name: str
-    table: str
-    columns: tuple[str, ...]
-    condition: str | None = None
-
-
-@dataclass(frozen=True)
-class ReferenceRule:
-    """Non-NULL child columns must exist in the parent; any NULL part passes."""
-
-    name: str
-    table: str
-    columns: tuple[str, ...]
-    parent: str
-    parent_columns: tuple[str, ...]
-
-
-def stack(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-def _rule_row(name: str, table: str, violations: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("RuleName"), F.lit(table).alias("TableName"),
-        F.coalesce(violations, F.lit(0)).cast("bigint").alias("Violations"),
-    )
-
-
-def _text(rule) -> str | None:
-    """The SQL text of a rule, if it has one."""
-    return rule.predicate.replace(":as_of", "current_date") if isinstance(rule, RowRule) else getattr(rule, "condition", None)
-
-
-def _resolves(frame: DataFrame, rules: Sequence) -> bool:
-    """Whether Spark finds all columns that the rules name; nothing runs for it."""
-    try:
-        frame.select(*(F.expr(text) for rule in rules if (text := _text(rule))), *(name for rule in rules for name in getattr(rule, "columns", ())))
-    except AnalysisException:
-        return False
-    return True
-
-
-def _by_table(tables: Tables, rules: Sequence) -> dict[str, list]:
-    """The rules whose tables and columns are all there, by table."""
-    found: dict[str, list] = defaultdict(list)
-    for rule in rules:
-        if rule.table in tables and getattr(rule, "parent", rule.table) in tables:
-            found[rule.table].append(rule)
-    parents = {name: set(tables.columns(name)) for name in {rule.parent for rule in rules if isinstance(rule, ReferenceRule)} if name in tables}
-    for table, mine in list(found.items()):
-        frame = tables.read(table)
-        mine = [rule for rule in mine if not isinstance(rule, ReferenceRule) or set(rule.parent_columns) <= parents[rule.parent]]
-        if not _resolves(frame, mine):
-            mine = [rule for rule in mine if _resolves(frame, [rule])]
-        found[table] = mine
-    return {table: mine for table, mine in found.items() if mine}
-
-
-def _read_for(tables: Tables, table: str, mine: Sequence) -> DataFrame:
-    """One scan of a table with the columns that its rules name."""
-    words = {word.lower() for rule in mine for word in re.findall(r"\w+", _text(rule) or "")}
-    words |= {name.lower() for rule in mine for name in getattr(rule, "columns", ())}
-    return tables.read(table, *(name for name in tables.columns(table) if name.lower() in words))
-
-
-def check_rows(tables: Tables, rules: Sequence[RowRule], as_of: str) -> DataFrame:
-    """All row rules of a table in one scan."""
-    frames = []
-    for table, mine in _by_table(tables, rules).items():
-        broken = [
-            F.sum(flag(~F.expr(rule.predicate.replace(":as_of", f"date'{as_of}'")))).alias(f"r{i}")
-            for i, rule in enumerate(mine)
-        ]
-        entries = F.array(*(_rule_row(rule.name, table, c(f"r{i}")) for i, rule in enumerate(mine)))
-        frames.append(_read_for(tables, table, mine).agg(*broken).select(F.inline(entries)))
-    return stack(frames)
-
-
-def _key_text(columns: Sequence[str]) -> Column:
-    """A key of any types as one text; absent parts are told from all values."""
-    return F.to_json(F.struct(*(c(name).cast("string").alias(f"k{i}") for i, name in enumerate(columns))))
-
-
-def _reported(tables: Tables, counted: DataFrame, checked: Sequence) -> DataFrame:
-    """Violations by rule number as a report; rules without any have zero."""
-    zeros = tables.spark.createDataFrame(
-        [(i, rule.name, rule.table) for i, rule in enumerate(checked)], "rule int, RuleName string, TableName string"
-    )
-    violations = F.coalesce("v", F.lit(0)).cast("bigint").alias("Violations")
-    return zeros.join(counted, "rule", "left").select("RuleName", "TableName", violations)
-
-
-def check_keys(tables: Tables, rules: Sequence[KeyRule]) -> DataFrame:
-    """Number of key values held by more than one row.
-
-    A table is scanned once: each row gives one (rule, key) record for every rule whose
-    condition it meets. All records of all tables share one grouping; counts are combined
-    before the shuffle, so a value held by very many rows costs one record per task.
-    """
-    by_table = _by_table(tables, rules)
-    checked = [rule for mine in by_table.values() for rule in mine]
-    number = {id(rule): i for i, rule in enumerate(checked)}
-    frames = []
-    for table, mine in by_table.items():
-        records = []
-        for rule in mine:
-            record = F.struct(F.lit(number[id(rule)]).alias("rule"), _key_text(rule.columns).alias("key"))
-            records.append(F.when(F.expr(rule.condition), record) if rule.condition else record)
-        rows = _read_for(tables, table, mine).select(F.explode(F.array(*records)).alias("r"))
-        frames.append(rows.where("r is not null").select("r.rule", "r.key"))
-    repeated = stack(frames).groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return _reported(tables, repeated.groupBy("rule").agg(F.count(F.lit(1)).alias("v")), checked)
-
-
-def check_references(tables: Tables, rules: Sequence[ReferenceRule]) -> DataFrame:
-    """Child rows without a parent.
-
-    A child table is scanned once for all its references, a parent once for each key that
-    is referred to. References are counted per (rule, key) before the shuffle and meet all
-    parents in one anti join, so a frequent foreign key arrives as one record.
-    """
-    by_table = _by_table(tables, rules)
-    checked = [rule for mine in by_table.values() for rule in mine]
-    number = {id(rule): i for i, rule in enumerate(checked)}
-    parents = {parent: i for i, parent in enumerate(dict.fromkeys((rule.parent, rule.parent_columns) for rule in checked))}
-    children, known = [], []
-    for table, mine in by_table.items():
-        records = []
-        for rule in mine:
-            record = F.struct(
-                F.lit(number[id(rule)]).alias("rule"),
-                F.lit(parents[rule.parent, rule.parent_columns]).alias("parent"),
-                _key_text(rule.columns).alias("key"),
-            )
-            whole = reduce(Column.__and__, (c(name).isNotNull() for name in rule.columns))
-            records.append(F.when(whole, record))
-        rows = _read_for(tables, table, mine).select(F.explode(F.array(*records)).alias("r"))
-        children.append(rows.where("r is not null").select("r.*"))
-    for (parent, columns), i in parents.items():
-        known.append(tables.read(parent, *columns).select(F.lit(i).alias("parent"), _key_text(columns).alias("key")))
-    counted = stack(children).groupBy("rule", "parent", "key").agg(F.count(F.lit(1)).alias("n"))
-    orphans = counted.join(stack(known), ["parent", "key"], "left_anti")
-    return _reported(tables, orphans.groupBy("rule").agg(F.sum("n").alias("v")), checked)
-
-
-def with_status(report: DataFrame) -> DataFrame:
-    return report.withColumn("RuleStatus", F.when(c("Violations") == 0, "PASS").otherwise("FAIL"))
-
-
-def open_rules(report: DataFrame, rules: Sequence, tables: Tables) -> DataFrame:
-    """Rules that fail, and rules that could not be checked here."""
-    checked = {id(rule) for mine in _by_table(tables, rules).values() for rule in mine}
-    unchecked = [(rule.name, rule.table, None, "NOT CHECKED") for rule in rules if id(rule) not in checked]
-    failing = with_status(report).where(c("RuleStatus") == "FAIL")
-    listed = tables.spark.createDataFrame(unchecked, f"{RESULT}, RuleStatus string")
-    return failing.unionByName(listed).orderBy("TableName", "RuleName")
-
-
-# -- counts and seed checks -----------------------------------------------------
 
 # Tables whose seed rows are counted.
 SEEDED = (

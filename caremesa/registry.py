@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremesa.operators import integrity, loading, profile, quality, risk_model
+from caremesa.operators import constraints, integrity, loading, profile, quality, risk_model
+from caremesa.operators.register import RuleRegister
 from caremesa.plans import kpis, library, reports, rules, views
 from caremesa.sources import files
 from caremesa.sources.derived import AS_OF, derived_tables
@@ -49,7 +51,7 @@ REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
     "P09": lambda t: reports.model_performance(t, min_predictions=1),
     "P10": lambda t: reports.patient_encounter_history(t, patient_id=1),
     "P11": lambda t: reports.patient_billing_detail(t, AS_OF, patient_id=1),
-    "P12": lambda t: integrity.stack(list(reports.top_executive_exceptions(t, AS_OF).values())),
+    "P12": lambda t: constraints.stack(list(reports.top_executive_exceptions(t, AS_OF).values())),
     "P12a": lambda t: reports.top_executive_exceptions(t, AS_OF)["outstanding"],
     "P12b": lambda t: reports.top_executive_exceptions(t, AS_OF)["denials"],
     "P12c": lambda t: reports.top_executive_exceptions(t, AS_OF)["no_shows"],
@@ -76,53 +78,20 @@ QUALITY: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-def _row_rules(t: Tables) -> DataFrame:
-    return integrity.check_rows(t, rules.ROW_RULES, AS_OF)
+def rule_register(t: Tables, folder: str) -> RuleRegister:
+    """The register of the declared rules over one data folder; it lasts as long as the application."""
+    return RuleRegister(t, shared_folder(t.spark, f"rules-{zlib.crc32(folder.encode()):08x}"), rules.FAMILIES, AS_OF)
 
 
-def _json_rules(t: Tables) -> DataFrame:
-    return integrity.check_rows(t, rules.JSON_RULES, AS_OF)
+def _family(name: str) -> Query:
+    return lambda spark, folder: constraints.with_status(rule_register(derived_tables(spark, str(folder)), str(folder)).run([name]))
 
 
-def _digit_rules(t: Tables) -> DataFrame:
-    return integrity.check_rows(t, rules.DIGIT_RULES, AS_OF)
+def _open_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rule_register(derived_tables(spark, str(folder)), str(folder)).open_rules()
 
 
-def _references(t: Tables) -> DataFrame:
-    return integrity.check_references(t, rules.REFERENCE_RULES)
-
-
-def _composite_references(t: Tables) -> DataFrame:
-    return integrity.check_references(t, rules.COMPOSITE_REFERENCE_RULES)
-
-
-def _keys(t: Tables) -> DataFrame:
-    return integrity.check_keys(t, rules.KEY_RULES)
-
-
-def _conditional_keys(t: Tables) -> DataFrame:
-    return integrity.check_keys(t, rules.CONDITIONAL_KEY_RULES)
-
-
-FAMILIES = {
-    "D45": _row_rules,
-    "D46": _references,
-    "D47": _composite_references,
-    "D48": _keys,
-    "D49": _conditional_keys,
-    "D50": _json_rules,
-    "D51": _digit_rules,
-}
-
-
-def _open_rules(t: Tables) -> DataFrame:
-    report = integrity.stack([family(t) for family in FAMILIES.values()])
-    return integrity.open_rules(report, rules.ALL_RULES, t)
-
-
-INTEGRITY = {"D44": _open_rules} | {
-    key: (lambda t, family=family: integrity.with_status(family(t))) for key, family in FAMILIES.items()
-}
+INTEGRITY: dict[str, Query] = {"D44": _open_rules} | {name: _family(name) for name in rules.FAMILIES}
 
 # Grouping of encounter types used by the inline-list example.
 TYPE_GROUPS = [("Emergency", "Acute"), ("Inpatient", "Acute"), ("Observation", "Acute"), ("Outpatient", "Planned")]
@@ -153,7 +122,7 @@ def _csv_sink(t: Tables) -> DataFrame:
         frame.agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit(name))
         for name, frame in files.read_folder(t.spark, folder).items()
     ]
-    return listed.join(integrity.stack(written), "dataset", "left").select("dataset", "status", "rows")
+    return listed.join(constraints.stack(written), "dataset", "left").select("dataset", "status", "rows")
 
 
 def _csv_source(t: Tables) -> DataFrame:
@@ -170,7 +139,7 @@ def _csv_folder(t: Tables) -> DataFrame:
         frame.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows", F.lit(len(frame.columns)).alias("columns"))
         for name, frame in files.read_folder(t.spark, folder).items()
     ]
-    return integrity.stack(counted)
+    return constraints.stack(counted)
 
 
 def _idempotent_append(t: Tables) -> DataFrame:
@@ -323,5 +292,5 @@ def _over_tables(plan: Callable[[Tables], DataFrame]) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    plans = {**VIEWS, **REPORTS, **LIBRARY, **QUALITY, **INTEGRITY, **LOADING, **RISK_MODEL}
-    return {key: _over_tables(plan) for key, plan in plans.items()}
+    plans = {**VIEWS, **REPORTS, **LIBRARY, **QUALITY, **LOADING, **RISK_MODEL}
+    return {key: _over_tables(plan) for key, plan in plans.items()} | INTEGRITY

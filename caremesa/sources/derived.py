@@ -195,6 +195,10 @@ class DerivedTables:
             f"if({key} % 10 = 9, date_add(date'1980-01-01', cast({key} % 5000 + if({key} % 20 = 9, 900, -1) as int)), "
             "cast(null as date)) as TerminationDate",
             f"{key} % 10 <> 9 as IsActive",
+            f"if({key} % 67 = 5, date'1899-12-31', date'2030-01-01') as LicenseExpirationDate",
+            f"if({key} % 31 = 4, cast(null as string), concat('LIC-', cast({key} % 900 as string))) as MedicalLicenseNumber",
+            f"if({key} % 29 = 6, cast(null as string), 'NY') as LicenseState",
+            f"if({key} % 17 = 3, cast(null as string), concat('DEA-', cast(if({key} % 71 = 9, {key} - 1, {key}) as string))) as DEANumber",
         )
 
     def build_hospital_providerspecialty(self, columns) -> DataFrame:
@@ -205,6 +209,8 @@ class DerivedTables:
             "cast(65 + s_suppkey % 20 as int) as SpecialtyID",
             "true as IsPrimary",
             "true as IsActive",
+            "date_add(date'2000-01-01', cast(s_suppkey % 100 as int)) as CertificationDate",
+            "if(s_suppkey % 53 = 7, date'1999-01-01', date'2010-01-01') as CertificationExpiryDate",
         )
 
     # -- clinical -------------------------------------------------------------
@@ -240,6 +246,10 @@ class DerivedTables:
             "lpad(cast(c_custkey % 100000 as string), 5, '0') as PostalCode",
             "true as IsPrimary",
             "c_custkey % 20 <> 3 as IsActive",
+            "cast(if(c_custkey % 90 = 4, null, c_custkey % 100 - 5) as decimal(9,6)) as Latitude",
+            "cast(if(c_custkey % 45 = 4, null, c_custkey % 200) as decimal(9,6)) as Longitude",
+            "date'1990-01-01' as EffectiveStartDate",
+            "if(c_custkey % 150 = 7, date'1989-01-01', cast(null as date)) as EffectiveEndDate",
         )
 
     def build_clinical_encounter(self, columns) -> DataFrame:
@@ -284,6 +294,7 @@ class DerivedTables:
             "else 'Secondary' end as DiagnosisType",
             "l_shipdate as DiagnosisDateUTC",
             "l_linenumber = 1 as IsPrimary",
+            "case cast(l_linenumber % 4 as int) when 1 then 'Y' when 2 then 'N' when 3 then if(l_partkey % 89 = 0, 'X', 'U') end as PresentOnAdmission",
         )
 
     def build_clinical_procedure(self, columns) -> DataFrame:
@@ -296,6 +307,7 @@ class DerivedTables:
             "l_shipdate as ProcedureDateTimeUTC",
             "'Completed' as ProcedureStatus",
             "cast(l_quantity as int) - 1 as Quantity",
+            f"{self.rules.provider('l_orderkey')} + if(l_partkey % 499 = 0, 1000000000, 0) as ProviderID",
         )
 
     def build_clinical_medicationorder(self, columns) -> DataFrame:
@@ -312,6 +324,7 @@ class DerivedTables:
             "cast(l_quantity as decimal(10,2)) as Quantity",
             "cast(l_partkey % 4 as int) as Refills",
             "if(l_partkey % 5 = 0, 'Completed', 'Active') as OrderStatus",
+            f"{self.rules.provider('l_orderkey')} + if(l_partkey % 501 = 0, 1000000000, 0) as ProviderID",
         )
 
     def build_clinical_medication(self, columns) -> DataFrame:
@@ -341,6 +354,9 @@ class DerivedTables:
             f"cast(50 + {k} % 70 as int) as DiastolicBloodPressure",
             f"cast(80 + {k} % 22 as decimal(5,2)) as OxygenSaturationPercent",
             f"cast({k} % 11 as int) as PainScore",
+            f"cast(10 + {k} % 95 as int) as RespiratoryRate",
+            f"cast(8 + {k} % 300 as int) as BloodGlucoseMgDL",
+            f"if({k} % 61 = 0, cast(-1 as bigint), {self.rules.provider(k)}) as RecordedByProviderID",
         )
 
     # -- telehealth -----------------------------------------------------------
@@ -399,6 +415,7 @@ class DerivedTables:
             "if(event_type = 'error' and event_id % 31 <> 0, concat('ERR-', cast(event_id % 5 as string)), "
             "cast(null as string)) as TechnicalErrorCode",
             "cast(null as string) as TechnicalErrorMessage",
+            "if(event_id % 500 = 3, 'Robot', 'Patient') as ParticipantType",
         )
 
     def build_telehealth_device(self, columns) -> DataFrame:
@@ -411,6 +428,9 @@ class DerivedTables:
             "concat('SN-', cast(c_custkey % 1400 as string)) as SerialNumber",
             "'Active' as DeviceStatus",
             "true as IsActive",
+            "date'1997-01-01' as AssignedDate",
+            "if(c_custkey % 70 = 0, date'1996-01-01', date'1997-02-01') as ActivatedDate",
+            "if(c_custkey % 110 = 0, date'1996-06-01', cast(null as date)) as DeactivatedDate",
         )
 
     def build_telehealth_devicereading(self, columns) -> DataFrame:
@@ -426,6 +446,9 @@ class DerivedTables:
             "cast(null as string) as TextValue",
             "value > 90 as IsAbnormal",
             "ts - make_dt_interval(0, 0, cast(event_id % 7 as int)) as ReceivedDateTimeUTC",
+            "if(event_id % 333 = 4, 'mmHg', cast(null as string)) as SecondaryUnitOfMeasure",
+            "if(event_id % 444 = 5, 'Telepathy', 'API') as DataSource",
+            "if(event_id % 100 = 1, event_id, cast(null as bigint)) as EncounterID",
         )
 
     def build_telehealth_waitlistqueue(self, columns) -> DataFrame:
@@ -440,6 +463,8 @@ class DerivedTables:
             f"{ADMITTED} - make_dt_interval(0, 0, cast({k} % 8 as int)) as QueueCalledDateTimeUTC",
             f"if({k} % 11 = 0, 'No Show', 'Completed') as QueueStatus",
             f"if({k} % 100 = 1, 'Asap', 'Normal') as PriorityLevel",
+            f"if({k} % 9 = 0, cast(null as timestamp_ntz), {ADMITTED} - make_dt_interval(0, 0, cast({k} % 7 as int))) as QueueExitedDateTimeUTC",
+            f"{_Rules.hospital_of(self.rules.provider(k))} * 5 + if({k} % 211 = 9, 5, 4) as DepartmentID",
         )
 
     # -- insurance ------------------------------------------------------------
@@ -485,6 +510,7 @@ class DerivedTables:
             "date'1995-01-01' as EffectiveStartDate",
             "'Active' as CoverageStatus",
             "c_custkey % 25 <> 7 as IsActive",
+            "if(c_custkey % 140 = 9, date'1994-01-01', cast(null as date)) as EffectiveEndDate",
         )
 
     def build_insurance_claim(self, columns) -> DataFrame:
@@ -544,6 +570,7 @@ class DerivedTables:
             "if(c_custkey % 2 = 0, 'Paper', 'Electronic') as BillingPreference",
             "c_custkey % 8 = 0 as IsFinancialAssistanceEligible",
             "true as IsActive",
+            "if(c_custkey % 130 = 11, 'Fax', 'Email') as PreferredCommunicationMethod",
         )
 
     def _invoices(self) -> DataFrame:
@@ -578,6 +605,7 @@ class DerivedTables:
             "cast(if(l_partkey % 600 = 0, 0, 1) as decimal(12,3)) as Quantity",
             f"{amount} as UnitAmount",
             f"{amount} as LineAmount",
+            "l_orderkey + if(l_partkey % 997 = 1, 1, 0) as EncounterID",
         )
 
     def _payments(self) -> DataFrame:
@@ -639,6 +667,7 @@ class DerivedTables:
             "cast(10000 + 5000 * r_regionkey as decimal(18,2)) as BudgetAmount",
             "'Active' as CampaignStatus",
             "if(r_regionkey = 4, null, r_regionkey) as HospitalID",
+            "cast(r_regionkey as bigint) as OwnerProviderID",
         )
 
     def build_marketing_campaignchannel(self, columns) -> DataFrame:
@@ -670,6 +699,7 @@ class DerivedTables:
             "if(event_id % 50 = 0, cast(null as string), concat('MSG-', cast(if(event_id % 601 = 1, event_id - 1, event_id) as string))) "
             "as ExternalMessageID",
             "'CRM' as SourceSystem",
+            "if(event_id % 200 = 2, event_id, cast(null as bigint)) as EncounterID",
         )
 
     def build_marketing_patientacquisition(self, columns) -> DataFrame:
@@ -692,6 +722,7 @@ class DerivedTables:
             "'Converted' as AcquisitionStatus",
             "cast(25 + user_id % 75 as decimal(18,2)) as AcquisitionCost",
             "concat('LEAD-', cast(user_id as string)) as ExternalLeadID",
+            "if(user_id % 25 = 0, user_id, cast(null as bigint)) as FirstEncounterID",
         )
 
     def build_marketing_patientcommunicationpreference(self, columns) -> DataFrame:
@@ -704,6 +735,8 @@ class DerivedTables:
             "if(c_custkey % 40 = 0, null, timestamp_ntz'1998-01-01 00:00:00') as ConsentDateTimeUTC",
             "if(c_custkey % 4 = 3, timestamp_ntz'1998-06-01 00:00:00', null) as RevokedDateTimeUTC",
             "c_custkey % 4 in (0, 2) or c_custkey % 44 = 1 as IsActive",
+            "if(c_custkey % 160 = 3, 'Pigeon', 'Web Portal') as ConsentSource",
+            "if(c_custkey % 170 = 4, 'Midnight', cast(null as string)) as PreferredContactTime",
         )
 
     def build_marketing_referralsource(self, columns) -> DataFrame:
@@ -714,6 +747,7 @@ class DerivedTables:
             "concat('Referral ', r_name) as ReferralSourceName",
             f"{_pick('r_regionkey', REFERRAL_TYPES)} as ReferralSourceType",
             "r_regionkey as ReferringHospitalID",
+            "cast(if(r_regionkey = 2, 7, r_regionkey) as bigint) as ReferringProviderID",
         )
 
     def build_marketing_audiencesegment(self, columns) -> DataFrame:
@@ -725,6 +759,7 @@ class DerivedTables:
             "'Demographic' as SegmentType",
             "if(c_mktsegment = 'FURNITURE', '{x', concat('{\"segment\":\"', c_mktsegment, '\"}')) as DefinitionJSON",
             "cast(n as int) as EstimatedMemberCount",
+            "if(c_mktsegment = 'MACHINERY', 'Hourly', 'Daily') as RefreshFrequency",
         )
 
     # -- models ---------------------------------------------------------------
@@ -739,6 +774,8 @@ class DerivedTables:
             "'Binary Classification' as ProblemType",
             "'Production' as ModelStatus",
             "if(r_regionkey = 1, 'Extreme', 'High') as RiskLevel",
+            "cast(r_regionkey as bigint) as OwnerProviderID",
+            "if(r_regionkey = 3, null, r_regionkey) as OwningHospitalID",
         )
 
     def build_ai_modelversion(self, columns) -> DataFrame:
@@ -753,6 +790,12 @@ class DerivedTables:
             "'Approved' as ApprovalStatus",
             "'{\"trees\":100}' as HyperparametersJSON",
             "cast(null as string) as ModelHash",
+            "timestamp_ntz'1995-01-01 00:00:00' as EffectiveStartDateTimeUTC",
+            "if(r_regionkey = 1, timestamp_ntz'1994-06-01 00:00:00', null) as EffectiveEndDateTimeUTC",
+            "if(r_regionkey = 2, -5, 1000) as TrainingRecordCount",
+            "r_regionkey - 1 as FeatureCount",
+            "cast(if(r_regionkey = 3, null, r_regionkey) as bigint) as ApprovedByProviderID",
+            "if(r_regionkey = 4, null, timestamp_ntz'1995-01-01 00:00:00') as ApprovedDateTimeUTC",
         )
 
     def build_ai_featuredefinition(self, columns) -> DataFrame:
@@ -764,6 +807,7 @@ class DerivedTables:
             "'Decimal' as DataType",
             "'Clinical' as SourceSchema",
             "'Encounter' as SourceTable",
+            "if(p_brand = 'Brand#13', 'Astral', 'Clinical') as FeatureCategory",
         )
 
     def build_ai_modelfeature(self, columns) -> DataFrame:
@@ -815,6 +859,136 @@ class DerivedTables:
             f"{ADMITTED} + make_dt_interval(30) as OutcomeDateTimeUTC",
             f"if({k} % 409 = 0, 'Guess', 'EHR') as OutcomeSource",
             f"{k} % 9 <> 0 as IsFinalOutcome",
+            f"if({k} % 10 = 0, cast(null as bigint), {self.rules.provider(k)}) as VerifiedByProviderID",
+            f"if({k} % 11 = 0, null, {ADMITTED}) as VerifiedDateTimeUTC",
+        )
+
+    # -- tables that only the declared rules read --------------------------------
+
+    def build_insurance_priorauthorization(self, columns) -> DataFrame:
+        k = "o_orderkey"
+        return _project(
+            self.raw("orders").where(f"{k} % 6 = 1"), columns,
+            f"{k} as PriorAuthorizationID",
+            f"{PATIENT} as PatientID",
+            f"cast({k} % 26 as int) as InsurancePlanID",
+            f"{k} + if({k} % 77 = 1, 1, 0) as EncounterID",
+            f"{self.rules.provider(k)} as ProviderID",
+            f"if({k} % 13 = 0, cast(null as string), concat('AUTH-', cast(if({k} % 91 = 1, 1, {k}) as string))) as AuthorizationNumber",
+            f"case when {k} % 83 = 1 then 'Lost' when {k} % 5 = 1 then 'Denied' else 'Approved' end as AuthorizationStatus",
+            f"{ADMITTED} as RequestedDateTimeUTC",
+            f"{ADMITTED} + make_dt_interval(0, cast({k} % 50 - 1 as int)) as DecisionDateTimeUTC",
+            f"cast({ADMITTED} as date) as ApprovedStartDate",
+            f"date_add(cast({ADMITTED} as date), cast({k} % 30 - 1 as int)) as ApprovedEndDate",
+            f"cast({k} % 40 as decimal(12,3)) as AuthorizedUnits",
+            f"case when {k} % 15 = 1 then ' ' when {k} % 5 = 1 then 'Not covered' end as DenialReason",
+        )
+
+    def build_insurance_claimstatushistory(self, columns) -> DataFrame:
+        k = "o_orderkey"
+        steps = self.raw("orders").where(self.rules.claimed(k)).selectExpr("*", "explode(array(1, 2)) as part")
+        return _project(
+            steps, columns,
+            f"{k} * 10 + part as ClaimStatusHistoryID",
+            f"{k} + if({k} % 301 = 1, 1, 0) as ClaimID",
+            f"case when {k} % 403 = 7 then 1 when {k} % 401 = 5 then part - 1 else part end as StatusSequenceNumber",
+            f"case when part = 1 then 'Submitted' when {k} % 307 = 2 then 'Unknown' else 'Paid' end as ClaimStatus",
+        )
+
+    def build_billing_adjustment(self, columns) -> DataFrame:
+        k = "o_orderkey"
+        return _project(
+            self._invoices(), columns,
+            f"{k} as AdjustmentID",
+            f"if({k} % 211 = 1, 'ADJ-1', {_code('ADJ', k)}) as AdjustmentNumber",
+            f"{k} as InvoiceID",
+            f"if({k} % 50 = 1, {k}, cast(null as bigint)) as InvoiceLineID",
+            f"{k} as ClaimID",
+            f"if({k} % 10 = 1, cast(null as bigint), {self.rules.provider(k)}) as ApprovedByProviderID",
+            f"cast({k} % 40 as decimal(18,2)) as AdjustmentAmount",
+            f"if({k} % 93 = 4, 'Mystery', 'Courtesy') as AdjustmentType",
+            f"if({k} % 95 = 4, 'Gone', 'Posted') as AdjustmentStatus",
+            f"if({k} % 43 = 1, ' ', 'AR-1') as AdjustmentReasonCode",
+        )
+
+    def build_billing_refund(self, columns) -> DataFrame:
+        k = "o_orderkey"
+        return _project(
+            self._payments().where(f"{k} % 7 = 1"), columns,
+            f"{k} as RefundID",
+            f"if({k} % 113 = 1, 'REF-1', {_code('REF', k)}) as RefundNumber",
+            f"{k} as PaymentID",
+            f"{PATIENT} + if({k} % 119 = 1, 1, 0) as PatientAccountID",
+            f"{PATIENT} as PatientID",
+            f"{self.rules.provider(k)} as ApprovedByProviderID",
+            f"cast({k} % 30 as decimal(18,2)) as RefundAmount",
+            f"if({k} % 71 = 1, 'Barter', 'Check') as RefundMethod",
+            f"if({k} % 73 = 1, 'Lost', 'Issued') as RefundStatus",
+            f"if({k} % 41 = 1, '  ', 'Overpaid') as Reason",
+            f"if({k} % 3 = 1, cast(null as string), concat('RTX-', cast(if({k} % 89 = 1, 1, {k}) as string))) as TransactionReference",
+        )
+
+    def build_billing_accountbalancehistory(self, columns) -> DataFrame:
+        snapshots = self.raw("customer").selectExpr("*", "explode(array(1, 2)) as part")
+        none = "cast(0 as decimal(18,2))"
+        return _project(
+            snapshots, columns,
+            "c_custkey * 2 + part as AccountBalanceHistoryID",
+            "c_custkey as PatientAccountID",
+            "c_custkey + if(c_custkey % 131 = 1, 1, 0) as PatientID",
+            "date_add(date'1998-01-01', if(c_custkey % 137 = 3, 1, part)) as SnapshotDate",
+            "cast(c_acctbal as decimal(18,2)) as CurrentBalance",
+            f"{none} as Balance0To30Days",
+            f"{none} as Balance31To60Days",
+            f"{none} as Balance61To90Days",
+            f"{none} as Balance91To120Days",
+            "cast(c_custkey % 100 - 1 as decimal(18,2)) as BalanceOver120Days",
+            f"{none} as InsurancePendingAmount",
+            f"{none} as PatientResponsibilityAmount",
+            f"{none} as CollectionsAmount",
+        )
+
+    def build_marketing_campaignaudience(self, columns) -> DataFrame:
+        slots = self.raw("region").select("r_regionkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("slot"))
+        return _project(
+            slots, columns,
+            "r_regionkey * 2 + slot as CampaignAudienceID",
+            "if(r_regionkey = 4 and slot = 1, 50, r_regionkey) as CampaignID",
+            "65 + r_regionkey as AudienceSegmentID",
+            "if(r_regionkey = 2, 'Guest', 'Target') as AudienceRole",
+            "slot as PriorityRank",
+            "r_regionkey - 1 as ExpectedReach",
+        )
+
+    def build_ai_modelperformancemetric(self, columns) -> DataFrame:
+        n = "n_nationkey"
+        return _project(
+            self.raw("nation"), columns,
+            f"{n} as ModelPerformanceMetricID",
+            f"{n} % 6 as ModelVersionID",
+            f"case when {n} % 8 = 3 then 'Vibes' when {n} % 8 = 4 then 'Other' else 'AUROC' end as MetricName",
+            f"if({n} % 16 = 12, 'Lift', cast(null as string)) as MetricDescription",
+            f"if({n} = 9, 'Dream', 'Test') as EvaluationDataset",
+            "date'1995-01-01' as EvaluationStartDate",
+            f"date_add(date'1994-12-30', {n} % 12) as EvaluationEndDate",
+            f"cast({n} * 0.05 as decimal(9,8)) as ThresholdValue",
+            f"{n} - 1 as SampleSize",
+            f"if({n} % 2 = 0, cast(null as string), 'All') as PatientPopulationSegment",
+        )
+
+    def build_ai_modelmonitoringevent(self, columns) -> DataFrame:
+        n = "n_nationkey"
+        return _project(
+            self.raw("nation"), columns,
+            f"{n} as ModelMonitoringEventID",
+            f"{n} % 5 as ModelVersionID",
+            f"if({n} = 3, 'Boredom', 'Data Drift') as EventType",
+            f"if({n} = 5, 'Meh', 'High') as Severity",
+            f"case when {n} % 3 = 0 then 'Resolved' when {n} = 7 then 'Limbo' else 'Open' end as ResolutionStatus",
+            f"cast(if({n} % 6 = 0, {n}, null) as bigint) as ResolvedByProviderID",
+            f"if({n} % 3 = 0, timestamp_ntz'1996-01-01 00:00:00', null) as ResolvedDateTimeUTC",
+            f"cast({n} as decimal(19,6)) as ExpectedMinimum",
+            "cast(20 as decimal(19,6)) as ExpectedMaximum",
         )
 
 

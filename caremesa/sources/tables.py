@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+import hashlib
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import partial
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType
 
 # Gets the wanted columns (none: all of them) and returns just these.
 Reader = Callable[[tuple[str, ...]], DataFrame]
@@ -21,6 +24,7 @@ class Tables:
     def __init__(self, spark: SparkSession, readers: Mapping[str, Reader]):
         self.spark = spark
         self._readers = dict(readers)
+        self._types: dict[str, dict[str, DataType]] = {}
 
     def __contains__(self, name: str) -> bool:
         return name in self._readers
@@ -37,6 +41,28 @@ class Tables:
     def columns(self, name: str) -> list[str]:
         return self.read(name).columns
 
+    def types(self, name: str) -> dict[str, DataType]:
+        """The type of each column, by its name in lower case; found once."""
+        if name not in self._types:
+            self._types[name] = {field.name.lower(): field.dataType for field in self.read(name).schema}
+        return self._types[name]
+
+    def versions(self, names: Iterable[str]) -> dict[str, str]:
+        """For each table a text that changes when its files, or the way they are read, change.
+
+        It covers path, length and modification time of every file, and the plan over them. A table
+        without files has the version of its plan, which covers the rows of a local frame. All files are looked
+        up in one job, which reads none of them.
+        """
+        frames = {name: self.read(name) for name in names}
+        files = {name: sorted(map(unquote, frame.inputFiles())) for name, frame in frames.items()}
+        seen = _statuses(self.spark, sorted(set().union(*files.values())))
+        found = {}
+        for name, frame in frames.items():
+            parts = [str(frame.semanticHash()), *(f"{path} {seen.get(path)}" for path in files[name])]
+            found[name] = hashlib.sha256("\n".join(parts).encode()).hexdigest()[:16]
+        return found
+
     def narrowed(self, keys: Mapping[str, tuple[str, DataFrame]]) -> Tables:
         """These tables, some cut to the rows whose key is among given ones.
 
@@ -56,6 +82,14 @@ class Tables:
         return Tables(self.spark, self._readers | {name: reader(name) for name in keys if name in self})
 
 
+def _statuses(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
+    """Length and modification time of some files."""
+    if not files:
+        return {}
+    listed = spark.read.format("binaryFile").load(list(files)).select("path", "length", "modificationTime")
+    return {unquote(row["path"]): f"{row['length']} {row['modificationTime']}" for row in listed.collect()}
+
+
 def _narrow(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return frame.select(*columns) if columns else frame
 

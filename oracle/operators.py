@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from caremesa.operators.quality import CHECKS
-from caremesa.plans import rules
+from oracle import rules
 from oracle.views import AS_OF, pct, tally
 
 EMPTY = "coalesce(trim({0}), '') = ''"
@@ -84,11 +84,11 @@ SEEDED = (
 LOADED = {
     "clinical": "patient patientaddress encounter diagnosis procedure medication medicationorder vitals",
     "telehealth": "virtualvisit sessionevent device devicereading waitlistqueue",
-    "insurance": "payer insuranceplan patientcoverage claim claimline",
-    "billing": "patientaccount invoice invoiceline payment paymentallocation",
+    "insurance": "payer insuranceplan patientcoverage claim claimline priorauthorization claimstatushistory",
+    "billing": "patientaccount invoice invoiceline payment paymentallocation adjustment refund accountbalancehistory",
     "marketing": "campaign campaignchannel campaigninteraction patientacquisition patientcommunicationpreference "
-                 "referralsource audiencesegment",
-    "ai": "model modelversion featuredefinition modelfeature prediction predictionoutcome",
+                 "referralsource audiencesegment campaignaudience",
+    "ai": "model modelversion featuredefinition modelfeature prediction predictionoutcome modelperformancemetric modelmonitoringevent",
 }
 TOTALS = {
     "Patients": "clinical_patient", "Encounters": "clinical_encounter", "TelehealthVisits": "telehealth_virtualvisit",
@@ -105,68 +105,45 @@ def _violations(entries: list[tuple[str, str, str]]) -> str:
     )
 
 
-def _row_rules() -> str:
-    known = {table for schema, names in LOADED.items() for table in (f"{schema}_{name}" for name in names.split())}
-    known |= set(SEEDED)
-    return _violations([
-        (rule.name, rule.table, f"select count(*) from {rule.table} where not ({rule.predicate.replace(':as_of', AS_OF)})")
-        for rule in rules.ROW_RULES if rule.table in known
-    ])
+def _broken(entries) -> str:
+    return _violations([(f"CK_{name}", table, f"select count(*) from {table} where {condition}") for name, table, condition in entries])
 
 
-def _references(listed) -> str:
+def _references(single: bool) -> str:
     entries = []
-    for rule in listed:
-        present = " and ".join(f"c.{column} is not null" for column in rule.columns)
-        match = " and ".join(f"p.{b} = c.{a}" for a, b in zip(rule.columns, rule.parent_columns))
-        entries.append((
-            rule.name, rule.table,
-            f"select count(*) from {rule.table} c where {present} and not exists (select 1 from {rule.parent} p where {match})",
-        ))
+    for name, table, columns, parent, parent_columns in rules.REFERENCES:
+        pairs = list(zip(columns.split(", "), parent_columns.split(", ")))
+        if (len(pairs) == 1) == single:
+            present = " and ".join(f"c.{column} is not null" for column, _ in pairs)
+            match = " and ".join(f"p.{b} = c.{a}" for a, b in pairs)
+            entries.append((
+                f"FK_{name}", table,
+                f"select count(*) from {table} c where {present} and not exists (select 1 from {parent} p where {match})",
+            ))
     return _violations(entries)
 
 
-def _keys(listed) -> str:
+def _keys(kind: str, listed) -> str:
     return _violations([
-        (
-            rule.name, rule.table,
-            f"select count(*) from (select 1 from {rule.table} where {rule.condition or 'true'} "
-            f"group by {', '.join(rule.columns)} having count(*) > 1)",
-        )
-        for rule in listed
+        (f"{kind}_{name}", table, f"select count(*) from (select 1 from {table} where {condition} group by {columns} having count(*) > 1)")
+        for name, table, columns, condition in listed
     ])
 
 
-def _json(table: str, column: str) -> tuple[str, str, str]:
-    return (
-        f"{table}.{column}.json", table,
-        f"select count(*) from {table} where {column} is not null "
-        f"and not (json_valid({column}) and ltrim({column})[1] in ('{{', '['))",
-    )
-
-
 RULE_REPORTS = {
-    "D45": _row_rules(),
-    "D46": _references(rules.REFERENCE_RULES),
-    "D47": _references(rules.COMPOSITE_REFERENCE_RULES),
-    "D48": _keys(rules.KEY_RULES),
-    "D49": _keys(rules.CONDITIONAL_KEY_RULES),
-    "D50": _violations([
-        _json("marketing_audiencesegment", "DefinitionJSON"), _json("ai_modelversion", "HyperparametersJSON"),
-        _json("ai_prediction", "InputSnapshotJSON"), _json("ai_prediction", "ExplanationJSON"),
+    "D45": _broken(rules.CHECKS),
+    "D46": _references(single=True),
+    "D47": _references(single=False),
+    "D48": _keys("UQ", [(*rule, "true") for rule in rules.UNIQUE]),
+    "D49": _keys("UX", rules.FILTERED),
+    "D50": _broken([
+        (name, table, f"{column} is not null and not (json_valid({column}) and ltrim({column})[1] in ('{{', '['))")
+        for name, table, column in rules.JSON
     ]),
-    "D51": _violations([(
-        "hospital_provider.NPINumber.digits", "hospital_provider",
-        "select count(*) from hospital_provider where NPINumber is not null "
-        "and (length(NPINumber) <> 10 or regexp_matches(NPINumber, '[^0-9]'))",
+    "D51": _broken([(
+        "Provider_NPINumber", "hospital_provider", "NPINumber is not null and (length(NPINumber) <> 10 or regexp_matches(NPINumber, '[^0-9]'))",
     )]),
 }
-NOT_CHECKED = (
-    "(values ('insurance_priorauthorization.AuthorizedUnits.positive', 'insurance_priorauthorization'), "
-    "('insurance_claimstatushistory.StatusSequenceNumber.positive', 'insurance_claimstatushistory'), "
-    "('billing_adjustment.AdjustmentAmount.positive', 'billing_adjustment'), "
-    "('billing_refund.RefundAmount.positive', 'billing_refund')) t(RuleName, TableName)"
-)
 
 QUALITY: dict[str, str] = {f"D{number:02d}": _entry(number) for number in ISSUES} | {
     "D32": ALL_CHECKS,
@@ -188,9 +165,7 @@ QUALITY: dict[str, str] = {f"D{number:02d}": _entry(number) for number in ISSUES
         for schema, names in LOADED.items() for name in names.split()
     ),
     "D43": "select " + ", ".join(f"(select count(*) from {table}) as {name}" for name, table in TOTALS.items()),
-    "D44": "select *, 'FAIL' as RuleStatus from ("
-           + " union all ".join(RULE_REPORTS.values())
-           + f") where Violations > 0 union all select RuleName, TableName, null, 'NOT CHECKED' from {NOT_CHECKED}",
+    "D44": "select *, 'FAIL' as RuleStatus from (" + " union all ".join(RULE_REPORTS.values()) + ") where Violations > 0",
 } | {
     key: f"select *, if(Violations = 0, 'PASS', 'FAIL') as RuleStatus from ({sql})" for key, sql in RULE_REPORTS.items()
 }

@@ -4,8 +4,7 @@ from collections import Counter
 
 import pytest
 
-from caremesa.operators import integrity, loading, profile, quality, risk_model
-from caremesa.plans import rules
+from caremesa.operators import loading, profile, quality, risk_model
 from caremesa.sources import files
 from caremesa.sources.tables import frame_tables, parquet_tables
 from tests.micro import micro_tables
@@ -35,53 +34,6 @@ def test_duplicate_and_predicate_checks_share_one_pass(spark):
     assert quality.single(tables, AS_OF, 3).first().IssueCount == 2
 
 
-def rule_counts(report):
-    return {r.RuleName: r.Violations for r in report.collect()}
-
-
-def test_row_rules_pass_on_unknown(spark):
-    rows = spark.createDataFrame([(1, 2), (None, 2), (3, 2)], "a int, b int")
-    tables = frame_tables(spark, {"t": rows})
-    report = integrity.check_rows(tables, [integrity.RowRule("t.a", "t", "a >= b")], AS_OF)
-    assert rule_counts(report) == {"t.a": 1}
-
-
-def test_json_and_digit_rules(spark):
-    texts = ['{"a":1}', "[1]", "1", "{x", None, "  {}"]
-    codes = ["0123456789", "012345678", "01234x6789", None]
-    tables = frame_tables(
-        spark,
-        {
-            "ai_prediction": spark.createDataFrame([(t, None) for t in texts], "InputSnapshotJSON string, ExplanationJSON string"),
-            "hospital_provider": spark.createDataFrame([(x,) for x in codes], "NPINumber string"),
-        },
-    )
-    json_rules = rule_counts(integrity.check_rows(tables, rules.JSON_RULES, AS_OF))
-    assert json_rules == {"ai_prediction.InputSnapshotJSON.json": 2, "ai_prediction.ExplanationJSON.json": 0}
-    assert list(rule_counts(integrity.check_rows(tables, rules.DIGIT_RULES, AS_OF)).values()) == [2]
-
-
-def test_key_and_reference_rules(spark):
-    child = [(1, 1, 10), (2, 1, 10), (3, None, 10), (4, 9, 10), (5, 9, 10), (6, 2, 99)]
-    tables = frame_tables(
-        spark,
-        {
-            "child": spark.createDataFrame(child, "id int, p int, h int"),
-            "parent": spark.createDataFrame([(1, 10), (2, 10)], "p int, h int"),
-        },
-    )
-    single = integrity.ReferenceRule("single", "child", ("p",), "parent", ("p",))
-    pair = integrity.ReferenceRule("pair", "child", ("p", "h"), "parent", ("p", "h"))
-    clean = integrity.ReferenceRule("clean", "parent", ("p",), "child", ("p",))
-    assert rule_counts(integrity.check_references(tables, [single, pair, clean])) == {"single": 2, "pair": 3, "clean": 0}
-    keys = [integrity.KeyRule("all", "child", ("p",)), integrity.KeyRule("some", "child", ("p",), "id < 5")]
-    assert rule_counts(integrity.check_keys(tables, keys)) == {"all": 2, "some": 1}
-    absent = integrity.RowRule("gone", "nowhere", "x > 0")
-    report = integrity.check_references(tables, [single, clean])
-    listed = {(r.RuleName, r.RuleStatus) for r in integrity.open_rules(report, [single, clean, absent], tables).collect()}
-    assert listed == {("single", "FAIL"), ("gone", "NOT CHECKED")}
-
-
 def test_append_twice_equals_append_once(spark, tmp_path):
     path = str(tmp_path / "target")
     first = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
@@ -201,24 +153,3 @@ def test_classification_report(spark):
     assert got["accuracy"][0] == round(5 / 7, 4)
     assert got["macro avg"] == (0.4722, 0.5833, 0.5167, 7)
     assert got["weighted avg"][0] == round((0.75 * 4 + 2 / 3 * 2) / 7, 4)
-
-
-def test_rules_with_absent_columns_are_not_checked_and_keys_may_be_text(spark):
-    tables = frame_tables(spark, {
-        "child": spark.createDataFrame([("a", 1), ("a", 1), ("z", 2), (None, 3)], "code string, n int"),
-        "parent": spark.createDataFrame([("a",), ("b",)], "code string"),
-    })
-    reference = [
-        integrity.ReferenceRule("text", "child", ("code",), "parent", ("code",)),
-        integrity.ReferenceRule("no parent column", "child", ("code",), "parent", ("other",)),
-    ]
-    keys = [integrity.KeyRule("here", "child", ("code", "n")), integrity.KeyRule("gone", "child", ("other",))]
-    rows = [integrity.RowRule("positive", "child", "n > 1"), integrity.RowRule("gone too", "child", "other > 1")]
-    found = {r.RuleName: r.Violations for check in (
-        integrity.check_references(tables, reference), integrity.check_keys(tables, keys), integrity.check_rows(tables, rows, "2000-01-01")
-    ) for r in check.collect()}
-    assert found == {"text": 1, "here": 1, "positive": 2}
-    report = integrity.stack([integrity.check_keys(tables, keys)])
-    assert {r.RuleName: r.RuleStatus for r in integrity.open_rules(report, [*reference, *keys, *rows], tables).collect()} == {
-        "here": "FAIL", "gone": "NOT CHECKED", "gone too": "NOT CHECKED", "no parent column": "NOT CHECKED"
-    }

@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 SOURCES = "region nation customer supplier part orders lineitem events".split()
 SELECTED = (
     "V01 V02 V04 V05 V07 V08 V09 V10 V11 V12 V13 V15 V16 V17 V18 P05 P08 P12a Q01 Q05 Q09 Q13 Q15 Q17 Q18 "
-    "Q25 Q28 Q30 Q31 Q34 Q35 Q39 D32 D33 D37 D41 D46 D50 D51 E03 E09 E12 E13 E14 E15 E17 M03 M06"
+    "Q25 Q28 Q30 Q31 Q34 Q35 Q39 D32 D33 D37 D41 D42 D44 D45 D46 D47 D48 D49 D50 D51 E03 E09 E12 E13 E14 E15 E17 M03 M06"
 ).split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="data folder missing")
