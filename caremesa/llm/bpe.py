@@ -1,9 +1,10 @@
 """Operator 3: byte-level BPE encoding and decoding with DuckDB inside each task.
 
-The pattern cuts a text into words. The bytes of each distinct word are rows (word, pos,
-token); a recursive query joins neighbouring rows with the merge table and contracts each
-word's leftmost pair of the lowest rank, until no word has a pair left. Ordered
-aggregation turns token rows into ids and, through the vocabulary, back into bytes.
+The pattern cuts a text into words. The bytes of each distinct word are rows (word,
+place, token); a recursive query joins neighbouring rows with the merge table and
+contracts each word's leftmost pair of the lowest rank, until no word has a pair left.
+Ordered aggregation turns token rows into ids and, through the vocabulary, back into
+bytes: the rows are sorted once, and the connection's one thread takes them in that order.
 
 The merge table is derived from a rank file: a token may arise from any two tokens whose
 bytes make up its own.
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import os
 import tempfile
 import threading
 from collections.abc import Iterator, Sequence
@@ -35,25 +37,27 @@ PATTERN = public_tokenizers.PATTERN
 SLICE, REMEMBERED, LONG = 4_000_000, 800_000, 256
 MEMORY = "512MB"
 
+#: A row's key is the word's number, then the number of the token in the word, without gaps: the next token's key is one
+#: more, so neighbours meet by a hash join. The second token of a merged pair goes, and the numbers after it drop by one.
 _MERGE = """
-with recursive step(word, pos, token, final) as (
-    select word, pos, token, false from start
+with recursive step(key, token, final) as (
+    select key, token, false from start
     union all
-    select word, pos, token, final
+    select key, token, final
     from (
-        with pairs as (
-            select word, pos, token, lead(token) over (partition by word order by pos) as other from step where not final
-        ), ranked as (
-            select pairs.word, pos, token, rank from pairs left join merges on token = first and other = second
+        with open as materialized (
+            select key, token from step where not final
         ), best as (
-            select word, min(rank::bigint << 20 | pos) as pick from ranked where rank is not null group by word
+            select a.key >> 20 as word, min(rank::bigint << 20 | (a.key & 1048575)) as pick
+            from open a join open b on a.key + 1 = b.key join merges on pair = (a.token::bigint << 16 | b.token)
+            group by all
         )
-        select r.word, r.pos, pick is null as final,
-            case when r.pos = (pick & 1048575) then (pick >> 20)::integer else r.token end as token,
-            lag(r.pos = (pick & 1048575)) over (partition by r.word order by r.pos) as merged
-        from ranked r left join best on r.word = best.word
+        select case when r.key & 1048575 > pick & 1048575 then r.key - 1 else r.key end as key, pick is null as final,
+            case when r.key & 1048575 = pick & 1048575 then (pick >> 20)::integer else r.token end as token,
+            (r.key & 1048575) - (pick & 1048575) as after
+        from open r left join best on r.key >> 20 = best.word
     )
-    where not coalesce(merged, false)
+    where after is null or after <> 1
 )
 """
 
@@ -66,14 +70,15 @@ class Codec:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
         self.pattern = regex.compile(pattern)
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": tempfile.mkdtemp()})
+        spill = os.path.join(tempfile.gettempdir(), f"bpe-{os.getpid()}")  # made and emptied by DuckDB, if it spills at all
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": spill})
         pairs = [
             (first, second, rank)
             for token, rank in self.ranks.items()
             for cut in range(1, len(token))
             if (first := self.ranks.get(token[:cut])) is not None and (second := self.ranks.get(token[cut:])) is not None
         ]
-        self._table("merges", first=[p[0] for p in pairs], second=[p[1] for p in pairs], rank=[p[2] for p in pairs])
+        self._table("merges", pair=[first << 16 | second for first, second, _ in pairs], rank=[rank for _, _, rank in pairs])
         self._table("vocabulary", token=list(self.ranks.values()), hexed=[token.hex() for token in self.ranks])
         self._forget()
 
@@ -123,20 +128,25 @@ class Codec:
         short = [(code, word) for code, word in pairs if len(word) < LONG]
         sizes = np.fromiter((len(word) for _, word in short), np.int64, len(short))
         flat = np.frombuffer(b"".join(word for _, word in short), np.uint8)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         start = {
-            "word": np.repeat(np.fromiter((code for code, _ in short), np.int32, len(short)), sizes),
-            "pos": (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32),
+            "key": np.repeat(np.fromiter((code for code, _ in short), np.int64, len(short)), sizes) << 20 | place,
             "token": self.of_byte[flat],
         }
-        long = [(code, pos, token) for code, word in pairs if len(word) >= LONG for pos, token in enumerate(self._long(word))]
-        whole = {name: np.array([row[i] for row in long], np.int32) for i, name in enumerate(("word", "pos", "token"))}
+        long = [(code << 32 | place, token) for code, word in pairs if len(word) >= LONG for place, token in enumerate(self._long(word))]
+        whole = {name: np.array([row[i] for row in long], np.int64) for i, name in enumerate(("key", "token"))}
         self.db.register("start", pa.table(start))
         self.db.register("whole", pa.table(whole))
         self.db.execute(
             f"""insert into words
-            select word, count(*), string_agg(token::varchar, ' ' order by pos), string_agg(hexed, '' order by pos)
-            from (({_MERGE} select word, pos, token from step where final) union all select word, pos, token from whole)
-            join vocabulary using (token) group by word"""
+            select word, count(*), string_agg(token::varchar, ' '), string_agg(hexed, '')
+            from (
+                select word, token, hexed
+                from (
+                    ({_MERGE} select key >> 20 as word, key & 1048575 as place, token from step where final)
+                    union all select key >> 32, key & 4294967295, token from whole
+                ) join vocabulary using (token) order by word, place
+            ) group by word"""
         )
 
     def slice(self, texts: Sequence[str]) -> pd.DataFrame:
@@ -159,8 +169,8 @@ class Codec:
             """select coalesce(n, 0) as n_tokens, coalesce(ids, '') as ids, sha256(coalesce(ids, '')) as ids_sha256,
                 sha256(unhex(coalesce(hexed, ''))) as decoded_sha256
             from docs left join (
-                select doc, sum(n)::bigint as n, string_agg(ids, ' ' order by place) as ids, string_agg(hexed, '' order by place) as hexed
-                from occurrences join words using (word) group by doc
+                select doc, sum(n)::bigint as n, string_agg(ids, ' ') as ids, string_agg(hexed, '') as hexed
+                from (select doc, n, ids, hexed from occurrences join words using (word) order by doc, place) group by doc
             ) using (doc) order by doc"""
         ).df()
 
