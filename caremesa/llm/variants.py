@@ -36,7 +36,7 @@ _COLUMN = np.zeros(256, np.int64)
 _COLUMN[[ord(letter) for letter in LETTERS]] = range(WIDTH)
 
 #: Words and letters of a cell; visitors of a group; points of a leaf; words on which all upper trees are fitted.
-CELL, CELL_LETTERS, VISITORS, LEAF, SAMPLE = 40_000, 4_000_000, 200_000, 192, 200_000
+CELL, CELL_LETTERS, VISITORS, LEAF, SAMPLE = 20_000, 2_000_000, 60_000, 192, 200_000
 #: Sampled words for each cell, if the sample allows; pairs or letters that are compared at once.
 FIT, BLOCK = 32, 4_000_000
 
