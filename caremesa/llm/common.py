@@ -5,30 +5,27 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-import uuid
 from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from caremesa.sources import shared
+
 c = F.col
 
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, removed when the driver ends.
 
-    The cluster names a folder there that driver and executors share. Only a
-    session without that setting, as in tests, gets a local one.
+    The cluster names a folder there that driver and executors share; without it an error
+    is raised. Only where driver and executors are one process, as in tests, is a
+    temporary folder of that machine set for the session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = f"file://{tempfile.mkdtemp(prefix='caremesa-llm-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
+    if not spark.conf.get(shared.SETTING, None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set(shared.SETTING, f"file://{tempfile.mkdtemp(prefix='caremesa-llm-')}")
+    return shared.shared_folder(spark)
 
 
 def settle(frame: DataFrame) -> DataFrame:
@@ -84,7 +81,10 @@ def each_copy(numbers: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keeps what a Python worker gets at once below 8 MB, unless the session sets a size of its own."""
+    """Keeps what a Python worker gets at once below 8 MB, unless the session sets a size of its own.
+
+    The setting stays for the rest of the session: Spark reads it when a query runs, not when it is planned.
+    """
     setting, ordinary = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
     if int(spark.conf.get(setting).rstrip("b")) == ordinary:
         spark.conf.set(setting, "8388608b")
