@@ -22,41 +22,53 @@ from caremesa.llm.common import c, settle
 SCALE, K, EVERY = 1024, 10, 100
 #: Rows of an index block, queries of a query block, leading bits of a component that are sliced.
 BLOCK, QUERIES, BITS = 16_384, 1_024, 6
-#: Larger components count as this much, so that 512 products fit in 63 bits.
-LARGEST = 1 << 26
+#: Components have to stay below this size after scaling.
+LIMIT = 1 << 62
 
 
 def whole_numbers(vectors: DataFrame) -> DataFrame:
-    """vec_id and v, the components times 1024 rounded down; distinct rows without null or non-finite components."""
+    """vec_id, v (the components times 1024 rounded down) and copies, the number of such rows.
+
+    Vectors that are null or hold null or non-finite components are left out; a component
+    that is too large raises an error.
+    """
     x = F.col("embedding")
     unfit = F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
-    limited = lambda e: F.greatest(F.lit(-float(LARGEST)), F.least(F.lit(float(LARGEST)), e.cast("double") * SCALE))
-    fit = vectors.where(x.isNotNull() & ~unfit).select("vec_id", F.transform(x, lambda e: F.floor(limited(e)).cast("int")).alias("v"))
-    return fit.distinct()
+    too_large = F.raise_error(F.lit(f"a component is {LIMIT // SCALE} or more")).cast("bigint")
+
+    def whole(e):
+        scaled = e.cast("double") * SCALE
+        return F.when(F.abs(scaled) >= float(LIMIT), too_large).otherwise(F.floor(scaled).cast("bigint"))
+
+    fit = vectors.where(x.isNotNull() & ~unfit).select("vec_id", F.transform(x, whole).alias("v"))
+    # trailing zeros say nothing: vectors that differ in them only are equal
+    fit = fit.withColumn("v", F.expr("slice(v, 1, coalesce(array_max(transform(v, (x, i) -> if(x <> 0, i + 1, 0))), 0))"))
+    return fit.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
     """Rows of equal width; missing components are zero."""
     width = max(1, *(len(v) for v in vectors))
     if all(len(v) == width for v in vectors):
-        return np.stack(vectors.to_numpy()).astype(np.int32)
-    return np.stack([np.pad(np.asarray(v, np.int32), (0, width - len(v))) for v in vectors])
+        return np.stack(vectors.to_numpy()).astype(np.int64)
+    return np.stack([np.pad(np.asarray(v, np.int64), (0, width - len(v))) for v in vectors])
 
 
 def _packed(frame: pd.DataFrame) -> dict[str, object]:
-    """Ids, nulls among them and values of a block."""
+    """Ids, nulls among them, copies and values of a block."""
     frame = frame.sort_values("vec_id", kind="stable", na_position="last")
     none = frame["vec_id"].isna().to_numpy()
     values = _matrix(frame["v"])
-    return {"ids": frame["vec_id"].fillna(0).astype("int64").to_numpy().tobytes(), "none": none.tobytes(), "width": values.shape[1], "numbers": values.tobytes()}
+    ids, copies = frame["vec_id"].fillna(0).astype("int64").to_numpy(), frame["copies"].to_numpy(np.int64)
+    return {"ids": ids.tobytes(), "none": none.tobytes(), "copies": copies.tobytes(), "width": values.shape[1], "numbers": values.tobytes()}
 
 
 def slices_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Bitmaps [component, bit, word], minimum of each component, number of bits dropped."""
-    low = values.min(axis=0).astype(np.int64)
-    above = values - low
+    low = values.min(axis=0)
+    above = values.astype(np.uint64) - low.astype(np.uint64)  # a range of 64 bits fits
     dropped = max(0, int(above.max()).bit_length() - BITS)
-    lead = (above >> dropped).astype(np.uint8)
+    lead = (above >> np.uint64(dropped)).astype(np.uint8)
     rows = -(-len(values) // 64) * 64
     bits = np.zeros((values.shape[1], BITS, rows), np.uint8)
     for bit in range(BITS):
@@ -129,32 +141,44 @@ def rows_from(slices: list[np.ndarray], rows: np.ndarray, least: int) -> np.ndar
 class Block:
     """A block of the index with its slices."""
 
-    def __init__(self, ids: np.ndarray, none: np.ndarray, values: np.ndarray, slices: np.ndarray, dropped: int) -> None:
-        self.ids, self.none, self.values, self.slices, self.dropped = ids, none, values, slices, dropped
+    def __init__(self, ids: np.ndarray, none: np.ndarray, copies: np.ndarray, values: np.ndarray, slices: np.ndarray, dropped: int) -> None:
+        self.ids, self.none, self.copies, self.values, self.slices, self.dropped = ids, none, copies, values, slices, dropped
+        self.largest = int(max(abs(int(values.min(initial=0))), abs(int(values.max(initial=0)))))
         everything = np.zeros(slices.shape[2] * 64, np.uint8)
         everything[: len(ids)] = 1
         self.rows = np.packbits(everything, bitorder="little").view(np.uint64)
 
-    def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers and scores of the k best rows other than the query's own."""
+    def _scores(self, found: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Exact scores of some rows; beyond 63 bits in whole numbers of any size."""
+        if self.largest * sum(abs(int(x)) for x in query) < 1 << 63:
+            return self.values[found] @ query
+        return self.values[found].astype(object) @ query.astype(object)
+
+    def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row numbers, scores and copies of the k best distinct rows; of the query's own row, the other copies."""
         width = self.values.shape[1]
+        longer = query[width:].any()  # then the block holds no such row
         query = query[:width] if len(query) >= width else np.pad(query, (0, width - len(query)))
-        query = query.astype(np.int64)
-        rows = self.rows.copy()
+        rows, copies = self.rows.copy(), self.copies
         own = np.flatnonzero((self.ids == query_id) & ~self.none)
-        for row in own[(self.values[own] == query).all(axis=1)]:
-            rows[row // 64] &= ~np.uint64(1 << int(row) % 64)
+        for row in () if longer else own[(self.values[own] == query).all(axis=1)]:
+            copies = copies.copy()
+            copies[row] -= 1
+            if not copies[row]:
+                rows[row // 64] &= ~np.uint64(1 << int(row) % 64)
         if int(np.bitwise_count(rows).sum()) > k:
             slices = add_slices(self.slices, query)
-            error = int(np.abs(query).sum()) * ((1 << self.dropped) - 1)
+            error = sum(abs(int(x)) for x in query) * ((1 << self.dropped) - 1)
             rows = rows_from(slices, rows, kth_score(slices, rows, k) - (error >> self.dropped))
         found = np.flatnonzero(np.unpackbits(rows.view(np.uint8), bitorder="little"))
-        scores = self.values[found].astype(np.int64) @ query
+        scores = self._scores(found, query)
         order = np.lexsort((self.ids[found], self.none[found], -scores))[:k]
-        return found[order], scores[order]
+        if scores.dtype == object and any(not -(1 << 63) <= score < 1 << 63 for score in scores[order]):
+            raise OverflowError("a score does not fit 64 bits")
+        return found[order], scores[order].astype(np.int64), copies[found[order]]
 
 
-_BLOB = "ids binary, none binary, width int, numbers binary"
+_BLOB = "ids binary, none binary, copies binary, width int, numbers binary"
 
 
 def _blocks(rows: DataFrame, name: str, number: int, index: bool) -> DataFrame:
@@ -163,7 +187,7 @@ def _blocks(rows: DataFrame, name: str, number: int, index: bool) -> DataFrame:
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         packed = _packed(frame)
         if index:
-            slices, _, dropped = slices_of(np.frombuffer(packed["numbers"], np.int32).reshape(-1, packed["width"]))
+            slices, _, dropped = slices_of(np.frombuffer(packed["numbers"], np.int64).reshape(-1, packed["width"]))
             packed |= {"slices": slices.tobytes(), "dropped": dropped}
         return pd.DataFrame([{name: int(frame["_block"].iloc[0]), **packed}])
 
@@ -177,20 +201,24 @@ def build_index(rows: DataFrame, number: int) -> DataFrame:
 
 
 def _search(frames: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
-    def numbers(row, prefix: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def numbers(row, prefix: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         get = lambda name, kind: np.frombuffer(getattr(row, prefix + name), kind)
-        return get("ids", np.int64), get("none", bool), get("numbers", np.int32).reshape(-1, getattr(row, f"{prefix}width"))
+        return get("ids", np.int64), get("none", bool), get("copies", np.int64), get("numbers", np.int64).reshape(-1, getattr(row, f"{prefix}width"))
 
     for frame in frames:
         for row in frame.itertuples(index=False):
-            ids, none, values = numbers(row)
+            ids, none, copies, values = numbers(row)
             slices = np.frombuffer(row.slices, np.uint64).reshape(values.shape[1], BITS, -1)
-            block = Block(ids, none, values, slices, row.dropped)
+            block = Block(ids, none, copies, values, slices, row.dropped)
             found = []
-            for query_id, query in zip(*numbers(row, "q_")[::2]):
-                at, scores = block.best(int(query_id), query, k)
+            asked, _, times, queries = numbers(row, "q_")
+            for query_id, repeated, query in zip(asked, times, queries):
+                at, scores, others = block.best(int(query_id), query, k)
                 key = query[: len(np.trim_zeros(query, "b"))].tobytes()
-                found.append(pd.DataFrame({"query_id": int(query_id), "query": [key] * len(at), "vec_id": pd.array(np.where(none[at], None, ids[at]), "Int64"), "score": scores}))
+                found.append(pd.DataFrame({
+                    "query_id": int(query_id), "query": [key] * len(at), "repeated": int(repeated),
+                    "vec_id": pd.array(np.where(none[at], None, ids[at]), "Int64"), "score": scores, "copies": others,
+                }))
             if found:
                 yield pd.concat(found)
 
@@ -202,35 +230,40 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, block: int = BLOC
     times 1024 rounded down; ties go to the smaller vec_id.
 
     Nulls: vectors that are null or hold null or non-finite components take no part; a
-    row without vec_id is a candidate, last among ties, but no query. Repeated rows count
-    once; vectors that share a vec_id are told apart, and each is a query of its own.
-    Shorter vectors are filled with zeros; components beyond 2^26 after scaling count as
-    2^26. With fewer than k other rows all are given; an empty table gives no rows. Other
-    columns are ignored.
+    row without vec_id is a candidate, last among ties, but no query. Repeated rows are rows
+    of their own: each copy is a candidate, and each copy of a query is asked and has the others
+    as candidates. Rows that share a vec_id but not the vector are told apart in the same way.
+    Shorter vectors are filled with zeros. Scores are exact; components of 2^52 and more and
+    scores beyond 64 bits raise an error. With fewer than k other rows all are given; an
+    empty table gives no rows. Other columns are ignored.
+
+    The index is shuffled once, by block; the blocks of queries, a small part of the rows,
+    are sent to each of its blocks.
     """
     rows = settle(whole_numbers(vectors))
     asked = rows.where(c("vec_id") % every == 0)
     number, sets = max(1, -(-rows.count() // block)), max(1, -(-asked.count() // queries))
-    index = build_index(rows, number).withColumn("set", F.explode(F.sequence(F.lit(0), F.lit(sets - 1))))
     sought = _blocks(asked, "set", sets, False)
-    sought = sought.select("set", *[c(name).alias(f"q_{name}") for name in ("ids", "none", "width", "numbers")])
+    sought = sought.select(*[c(name).alias(f"q_{name}") for name in ("ids", "none", "copies", "width", "numbers")])
     sought = sought.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(number - 1))))
-    pairs = index.join(sought, ["block", "set"])
-    near = pairs.mapInPandas(lambda frames: _search(frames, k), "query_id bigint, query binary, vec_id bigint, score bigint")
+    pairs = build_index(rows, number).join(sought, "block")
+    found = "query_id bigint, query binary, repeated bigint, vec_id bigint, score bigint, copies bigint"
+    near = pairs.mapInPandas(lambda frames: _search(frames, k), found)
+    each = near.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(c("copies"), F.lit(k)).cast("int"))))  # more than k can't rank
     order = Window.partitionBy("query_id", "query").orderBy(c("score").desc(), c("vec_id").asc_nulls_last())
-    ranked = near.withColumn("rank", F.row_number().over(order)).where(c("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    ranked = each.withColumn("rank", F.row_number().over(order)).where(c("rank") <= k)
+    return ranked.withColumn("copy", F.explode(F.sequence(F.lit(1), c("repeated").cast("int")))).select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = """
 with vectors as (
-    select distinct vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+    select vec_id, row_number() over () as place, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
     where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-    select q.vec_id as query_id, o.vec_id as vec_id, list_inner_product(q.v, o.v)::bigint as score
-    from vectors q join vectors o on q.vec_id % 100 = 0 and q.vec_id <> o.vec_id
+    select q.vec_id as query_id, q.place, o.vec_id as vec_id, list_inner_product(q.v, o.v)::bigint as score
+    from vectors q join vectors o on q.vec_id % 100 = 0 and q.place <> o.place
 )
 select query_id, rank, vec_id, score
-from (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scored)
+from (select *, row_number() over (partition by place order by score desc, vec_id)::integer as rank from scored)
 where rank <= 10
 """
