@@ -8,22 +8,35 @@ sequence.
 
 from __future__ import annotations
 
+import struct
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caremesa.sources.shared import settled
 
 c = F.col
-BUCKETS = 64
+#: Rows of a range, and the fewest and most ranges. Beyond the most, ranges grow; sorting them spills.
+RANGE_ROWS, FEWEST, MOST = 500_000, 8, 1 << 16
+#: Splits that are compared in generated code; more of them are looked up in a sorted list.
+COMPARED = 64
+
+
+def range_count(rows: int) -> int:
+    """The number of ranges follows the number of rows."""
+    return min(MOST, max(FEWEST, -(-rows // RANGE_ROWS)))
 
 
-def range_splits(frame: DataFrame, column: str, buckets: int = BUCKETS) -> list[float]:
+def range_splits(frame: DataFrame, column: str) -> list[float]:
     """Approximate quantiles of a numeric column: fixed cut points for a plan.
 
     They only set how even the ranges are; any cut points give the same result.
     """
-    points = [i / buckets for i in range(1, buckets)]
-    return sorted(set(frame.approxQuantile(column, points, 1 / (4 * buckets))))
+    ranges = range_count(frame.count())
+    points = [i / ranges for i in range(1, ranges)]
+    return sorted(set(frame.approxQuantile(column, points, 1 / (4 * ranges))))
 
 
 def range_bucket(value: Column, splits: list[float]) -> Column:
@@ -35,14 +48,22 @@ def range_bucket(value: Column, splits: list[float]) -> Column:
         middle = (low + high) // 2
         return F.when(value < splits[middle], search(low, middle)).otherwise(search(middle + 1, high))
 
-    return search(0, len(splits))
+    if len(splits) <= COMPARED:
+        return search(0, len(splits))
+    width = len(splits).bit_length()
+    ordered = F.array(*map(F.lit, [*splits, *[float("inf")] * ((1 << width) - len(splits))]))
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(width))))
+    # NULL and NaN end as in the comparisons above: NULL beyond all splits, NaN as well
+    return F.when(value.isNull() | F.isnan(value.cast("double")), F.lit(len(splits))).otherwise(
+        F.aggregate(steps, F.lit(0), lambda found, step: F.when(value >= F.element_at(ordered, found + step), found + step).otherwise(found))
+    )
 
 
 def running_total(frame: DataFrame, order: str, amount: str, name: str, total: str | None = None) -> DataFrame:
     """Running sum of ``amount`` in the order of a unique numeric column.
 
-    The ranges hold at most ``BUCKETS`` records when they are put in sequence,
-    which is also the proven size of the broadcast side.
+    One record per range is put in sequence, at most ``MOST`` of them, which is also the
+    proven size of the broadcast side.
     """
     ranged = frame.withColumn("_range", range_bucket(c(order), range_splits(frame, order)))
     in_order = Window.orderBy("_range")
@@ -118,32 +139,64 @@ def ntile(number: Column, total: Column, tiles: int) -> Column:
     return F.when(number <= large, in_large).otherwise(in_small)
 
 
-def previous_moment(frame: DataFrame, group: str, moment: str, tie: str, name: str) -> DataFrame:
+#: Rows of one group and day that are worked on together; a day with more is cut into seconds.
+SLICE = 1_000_000
+
+
+def previous_moment(frame: DataFrame, group: str, moment: str, tie: str, name: str, slice_rows: int = SLICE) -> DataFrame:
     """Adds the previous ``moment`` of the same group; rows without one are dropped.
 
-    Inside a day the previous row is found by a window over (group, day). The
-    first row of a day takes the last moment of the group's previous day, found
-    over one record per day. A group holding a large share of all rows is thus
-    worked on day by day. Rows without a moment come first and have no
-    predecessor, so they are left out at once.
+    Inside a day the previous row is found by a window over (group, day). The first row of a
+    day takes the last moment of the group's previous day, found over one record per
+    day. A day with more than ``slice_rows`` rows is cut into time slices of a second, each
+    worked on alone, with the last moment carried over (``_before_in_slices``). Rows without a
+    moment come first and have no predecessor, so they are left out at once. ``tie`` must be unique.
     """
     daily = frame.where(c(moment).isNotNull()).withColumn("_day", F.to_date(moment))
-    inside = Window.partitionBy(group, "_day").orderBy(moment, tie)
     over_days = Window.partitionBy(group).orderBy("_day")
-    days = (
-        daily.groupBy(group, "_day")
-        .agg(F.max(moment).alias("_last"))
-        .select(group, "_day", F.lag("_last").over(over_days).alias("_before"))
-    )
+    counted = daily.groupBy(group, "_day").agg(F.max(moment).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    days = counted.select(group, "_day", F.lag("_last").over(over_days).alias("_before"))
+    hot = settled(counted.where(c("_n") > slice_rows).select(group, "_day"))  # at most one record for ``slice_rows`` rows
+    inside = F.lag(moment).over(Window.partitionBy(group, "_day").orderBy(moment, tie))
+    if hot.isEmpty():
+        placed = daily.withColumn("_inside", inside)
+    else:
+        keys = [group, "_day"]
+        ordinary = daily.join(hot, keys, "left_anti").withColumn("_inside", inside)
+        placed = ordinary.unionByName(_before_in_slices(daily.join(hot, keys, "left_semi"), group, moment, tie))
     return (
-        daily.withColumn("_inside", F.lag(moment).over(inside))
-        .join(days, [group, "_day"])
+        placed.join(days, [group, "_day"])
         .withColumn(name, F.coalesce("_inside", "_before"))
         .where(c(name).isNotNull())
         .drop("_day", "_inside", "_before")
     )
 
 
+def _before_in_slices(rows: DataFrame, group: str, moment: str, tie: str) -> DataFrame:
+    """Adds ``_inside``, the previous moment in the same group and day, however many rows these hold.
+
+    Equal moments become one record; of their rows only the first by ``tie`` looks back, the
+    others have the moment itself. The records of a second are put in sequence, at most a
+    million, then one record per second of the day, at most 86,400.
+    """
+    second = F.date_trunc("second", moment)
+    moments = rows.groupBy(group, "_day", second.alias("_second"), moment).agg(F.min(tie).alias("_tie"))
+    in_second = F.lag(moment).over(Window.partitionBy(group, "_day", "_second").orderBy(moment))
+    in_day = F.lag("_last").over(Window.partitionBy(group, "_day").orderBy("_second"))
+    seconds = (
+        moments.groupBy(group, "_day", "_second").agg(F.max(moment).alias("_last"))
+        .select(group, "_day", "_second", in_day.alias("_carried"))
+    )
+    looked = (
+        moments.withColumn("_back", in_second).join(seconds, [group, "_day", "_second"])
+        .select(group, "_day", moment, "_tie", F.coalesce("_back", "_carried").alias("_back"))
+    )
+    names = rows.columns
+    return rows.join(looked, [group, "_day", moment]).select(
+        *names, F.when(c(tie) == c("_tie"), c("_back")).otherwise(c(moment)).alias("_inside")
+    )
+
+
 def latest_per_group(frame: DataFrame, group: str, order: tuple[str, ...], columns: tuple[str, ...]) -> DataFrame:
     """The row of each group that is last in ``order``; NULL sorts lowest."""
     picked = frame.groupBy(group).agg(F.max(F.struct(*order, *columns)).alias("_row"))
@@ -156,20 +209,94 @@ def earliest_per_group(frame: DataFrame, group: str, order: tuple[str, ...], col
     return picked.select(group, *(c(f"_row.{name}").alias(name) for name in dict.fromkeys((*order, *columns))))
 
 
-def exact_median(frame: DataFrame, column: str) -> DataFrame:
-    """One row with the exact median of a numeric column (NULL if it has no value).
+# -- exact medians ----------------------------------------------------------------
 
-    Equal values are counted before anything is ordered, so a frequent value is
-    one record; the middle is read off the running counts.
-    """
-    counted = settled(frame.where(c(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n")))
-    upto = running_total(counted, column, "_n", "_upto", total="_all")
-    low, high = F.floor((c("_all") + 1) / 2), F.floor((c("_all") + 2) / 2)
+#: The bits of a double below its sign and exponent, and buckets of one pass.
+FRACTION, PASS_BITS = 52, 12
+NAN, NOTHING = 2**63 - 1, -(2**63)
 
-    def holds(rank: Column) -> Column:
-        return (rank > c("_upto") - c("_n")) & (rank <= c("_upto"))
 
-    value = c(column).cast("double")
-    return upto.agg(
-        ((F.max(F.when(holds(low), value)) + F.max(F.when(holds(high), value))) / 2).alias(column)
-    )
+def double_bits(value: Column) -> Column:
+    """Whole numbers in the order of doubles: the bits of the magnitude, negative for negative ones; NaN is the largest.
+
+    Powers of two are exact in a double, so exponent and fraction come out exactly; the
+    logarithm is off by one at most and is put right by comparison.
+    """
+    size = F.abs(value)
+    near = F.greatest(F.floor(F.log2(size)), F.lit(-1022))
+    exponent = F.when(F.pow(F.lit(2.0), near) > size, near - 1).when(F.pow(F.lit(2.0), near + 1) <= size, near + 1).otherwise(near)
+    power = F.pow(F.lit(2.0), exponent.cast("double"))
+    fraction = ((size / power - 1) * float(2**FRACTION)).cast("bigint")
+    # below the smallest exponent the fraction stands alone, in steps of 2**-1074
+    small = (size * float(2**537) * float(2**537)).cast("bigint")
+    normal = F.call_function("shiftleft", (exponent + 1023).cast("bigint"), F.lit(FRACTION)) + fraction
+    bits = F.when(size < 2.0**-1022, small).when(size == float("inf"), F.lit(2047 << FRACTION)).otherwise(normal)
+    return F.when(value.isNull(), F.lit(None)).when(F.isnan(value), F.lit(NAN)).when(value < 0, -bits).otherwise(bits)
+
+
+def bits_double(bits: int) -> float:
+    """The double that has these bits."""
+    if bits == NAN:
+        return float("nan")
+    (size,) = struct.unpack("<d", struct.pack("<q", abs(bits)))
+    return -size if bits < 0 else size
+
+
+@dataclass
+class _Rank:
+    """A rank that is looked for among the values of a column whose bits lie in [low, high]; ``rank`` counts from 0 there."""
+
+    column: str
+    rank: int
+    low: int = -(2**63) + 1
+    high: int = NAN
+
+    @property
+    def shift(self) -> int:
+        return max(0, (self.high - self.low).bit_length() - PASS_BITS)
+
+
+def medians(frame: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """The exact median of each numeric column, the mean of the two middle values; None for a column without values.
+
+    Radix selection: the middle ranks of all columns are refined together. A pass reads the
+    frame once, counts the values of each column by the next twelve bits of their range and
+    keeps the bucket that holds the rank, with its smallest and largest value; it ends when
+    these are equal. No sort, no shuffle of values: at most 4,096 counters for each column and rank.
+    """
+    if not columns:
+        return {}
+    filled = frame.agg(*(F.count(name).alias(f"n{i}") for i, name in enumerate(columns))).first()
+    ranks = {
+        (name, half): _Rank(name, (filled[f"n{i}"] - 1 + half) // 2)
+        for i, name in enumerate(columns) if filled[f"n{i}"] for half in (0, 1)
+    }
+    bits = frame.select(*(double_bits(c(name).cast("double")).alias(f"b{i}") for i, name in enumerate(columns)))
+    place = {name: f"b{i}" for i, name in enumerate(columns)}
+    while open_ranks := [rank for rank in ranks.values() if rank.low < rank.high]:
+        spans = list(dict.fromkeys((rank.column, rank.low, rank.high, rank.shift) for rank in open_ranks))
+        records = []
+        for i, (name, low, high, shift) in enumerate(spans):
+            key = place[name]
+            # the range of all doubles is wider than a whole number holds: there the sign stays with the bucket
+            bucket = f"shiftright({key}, {shift})" if shift > FRACTION - 1 else f"shiftright({key} - {low}L, {shift})"
+            records.append(f"if({key} between {low}L and {high}L, named_struct('span', {i}, 'bucket', {bucket}, 'bits', {key}), null)")
+        counted = (
+            bits.selectExpr(f"inline(array({', '.join(records)}))").where("span is not null").groupBy("span", "bucket")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("bits").alias("low"), F.max("bits").alias("high"))
+        )
+        found: dict[int, list] = {}
+        for row in sorted(counted.collect()):  # at most 4,096 a span
+            found.setdefault(row["span"], []).append(row)
+        for rank in open_ranks:
+            for row in found[spans.index((rank.column, rank.low, rank.high, rank.shift))]:
+                if rank.rank < row["n"]:
+                    rank.low, rank.high = row["low"], row["high"]
+                    break
+                rank.rank -= row["n"]
+    middle = {key: bits_double(rank.low) for key, rank in ranks.items()}
+
+    def between(one: float, two: float) -> float:
+        return one if one == two else (one + two) / 2
+
+    return {name: between(middle[name, 0], middle[name, 1]) if (name, 0) in middle else None for name in columns}

@@ -11,7 +11,8 @@ from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caremesa.operators.ordered import exact_median
+from caremesa.operators.ordered import medians
+from caremesa.sources.shared import settled
 
 c = F.col
 
@@ -38,10 +39,8 @@ def coerce_numeric(frame: DataFrame) -> DataFrame:
 
 def impute_median(frame: DataFrame) -> DataFrame:
     """NULL features take the exact median over all rows; an empty column stays NULL."""
-    fills = {
-        name: F.coalesce(c(name), exact_median(frame.select(name), name).scalar()) for name in feature_names(frame)
-    }
-    return frame.withColumns(fills)
+    fills = medians(frame, feature_names(frame))
+    return frame.withColumns({name: F.coalesce(c(name), F.lit(fill).cast("double")) for name, fill in fills.items()})
 
 
 def drop_untargeted(frame: DataFrame) -> DataFrame:
@@ -102,17 +101,28 @@ class Fit:
         return self.model.stages[2]
 
 
-def fit(frame: DataFrame, trees: int = TREES, seed: int = SEED, depth: int = 5) -> Fit:
-    """A random forest on the training rows."""
-    rows = stratified_split(prepared(frame), seed=seed)
+#: The greatest depth that Spark grows trees to: they end where no split tells classes apart.
+DEPTH = 30
+#: Memory for the statistics of the nodes that are split in one pass, in MB: a level takes few passes.
+NODE_MEMORY = 1024
+
+
+def fit(frame: DataFrame, trees: int = TREES, seed: int = SEED, depth: int = DEPTH) -> Fit:
+    """A random forest on the training rows.
+
+    The prepared rows are written once to the shared folder, and everything reads them
+    there. Trees grow level by level to ``depth``; each row keeps the numbers of its nodes.
+    """
+    rows = settled(stratified_split(prepared(frame), seed=seed))
     names = feature_names(rows)
     filled = rows.agg(*(F.count(name).alias(name) for name in names)).first()
     features = [name for name in names if filled[name] > 0]
     indexer = StringIndexer(inputCol=TARGET, outputCol="label").fit(rows.select(TARGET))
+    forest = RandomForestClassifier(numTrees=trees, seed=seed, maxDepth=depth, cacheNodeIds=True, maxMemoryInMB=NODE_MEMORY)
     stages = [
         indexer,
         VectorAssembler(inputCols=features, outputCol="features"),
-        RandomForestClassifier(numTrees=trees, seed=seed, maxDepth=depth),
+        forest,
         IndexToString(inputCol="prediction", outputCol="PredictedLabel", labels=indexer.labels),
     ]
     model = Pipeline(stages=stages).fit(rows.where(~c("IsTest")))

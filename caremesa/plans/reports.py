@@ -98,18 +98,30 @@ def _of_patient(tables: Tables, patient_id: int | None, mrn: str | None) -> Tabl
     )
 
 
-def _of_period(tables: Tables, period: kpis.Period, *parents: str) -> Tables:
-    """Tables whose child facts belong to parents of the period; an open period cuts nothing."""
-    if period == kpis.ALWAYS:
+def _of_parents(tables: Tables, period: kpis.Period, *parents: str, **wanted) -> Tables:
+    """Tables whose child facts belong to parents of the period with the wanted values; without either nothing is cut."""
+    given = {name: value for name, value in wanted.items() if value is not None}
+    if period == kpis.ALWAYS and not given:
         return tables
     keys = {}
     for parent in parents:
         key, date, children = DATED[parent]
-        wanted = kpis.within(tables.read(parent, key, date), date, period).select(key)
-        keys |= {child: (key, wanted) for child in children}
+        rows = _matching(kpis.within(tables.read(parent, key, date, *given), date, period), **given).select(key)
+        keys |= {child: (key, rows) for child in children}
     return tables.narrowed(keys)
 
 
+def _of_place(tables: Tables, hospital_id: int | None, department_id: int | None) -> Tables:
+    """Tables whose child facts belong to encounters of a place, or to claims of providers with such encounters."""
+    if hospital_id is None and department_id is None:
+        return tables
+    everywhere = tables.read("clinical_encounter", "EncounterID", "ProviderID", "HospitalID", "DepartmentID")
+    here = _matching(everywhere, HospitalID=hospital_id, DepartmentID=department_id)
+    claims = tables.read("insurance_claim", "ClaimID", "ProviderID").join(here.select("ProviderID"), "ProviderID", "left_semi")
+    encounters = {name: ("EncounterID", here.select("EncounterID")) for name in ENCOUNTER_FACTS}
+    return tables.narrowed(encounters | {"insurance_claimline": ("ClaimID", claims.select("ClaimID"))})
+
+
 def _months(frame: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """Months from that of the first date to that of the last, both whole."""
     return frame.where(c("KPI_Month").between(F.lit(first.replace(day=1)), F.lit(last.replace(day=1))))
@@ -131,7 +143,7 @@ def hospital_performance(tables: Tables, as_of=None, hospital_id: int | None = N
     """P03"""
     first, last = _period(start, end, 51002)
     period = _month_bounds(first, last)
-    own = _of_period(tables, period, "insurance_claim", "telehealth_virtualvisit")
+    own = _of_parents(tables, period, "insurance_claim", "telehealth_virtualvisit", HospitalID=hospital_id)
     frame = _matching(kpis.hospital_monthly_performance(own, period), HospitalID=hospital_id)
     return _months(frame, first, last).orderBy("KPI_Month", "HospitalID")
 
@@ -141,7 +153,8 @@ def provider_productivity(
 ) -> DataFrame:
     """P04"""
     _require(min_encounters >= 0, 51003)
-    frame = _matching(kpis.provider_productivity(tables), HospitalID=hospital_id, DepartmentID=department_id)
+    own = _of_place(tables, hospital_id, department_id)
+    frame = _matching(kpis.provider_productivity(own), HospitalID=hospital_id, DepartmentID=department_id)
     return frame.where(c("TotalEncounters") >= min_encounters).orderBy(c("TotalEncounters").desc(), "ProviderID")
 
 
@@ -153,7 +166,7 @@ def claim_denial_report(
     first, last = _period(start, end, 51004)
     _require(0 <= min_rate <= 100, 51005)
     period = _month_bounds(first, last)
-    own = _of_period(tables, period, "insurance_claim")
+    own = _of_parents(tables, period, "insurance_claim")
     frame = _matching(kpis.claim_denial_monthly(own, period), HospitalName=hospital_name, PayerName=payer_name)
     floor = F.lit(Decimal(str(min_rate))).cast("decimal(9,2)")
     return (
@@ -167,7 +180,7 @@ def monthly_revenue_cycle(tables: Tables, as_of, start=None, end=None) -> DataFr
     """P06"""
     first, last = _period(start, end, 51006)
     period = _month_bounds(first, last)
-    own = _of_period(tables, period, "insurance_claim", "billing_invoice")
+    own = _of_parents(tables, period, "insurance_claim", "billing_invoice")
     return _months(kpis.revenue_cycle_monthly(own, as_of, period), first, last).orderBy("KPI_Month")
 
 
@@ -177,7 +190,7 @@ def telehealth_operations(
     """P07"""
     first, last = _period(start, end, 51007)
     period = _month_bounds(first, last)
-    own = _of_period(tables, period, "telehealth_virtualvisit")
+    own = _of_parents(tables, period, "telehealth_virtualvisit", HospitalID=hospital_id, DepartmentID=department_id)
     frame = _matching(kpis.telehealth_monthly(own, period), HospitalID=hospital_id, DepartmentID=department_id)
     return _months(frame, first, last).orderBy("KPI_Month", "HospitalID", "DepartmentID")
 

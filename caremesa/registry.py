@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +43,9 @@ VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
 REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
     "P01": lambda t: reports.enterprise_dashboard(t, AS_OF),
     "P02": lambda t: reports.patient_360(t, AS_OF, patient_id=1),
-    "P03": lambda t: reports.hospital_performance(t, hospital_id=1),
+    "P03": lambda t: reports.hospital_performance(t, hospital_id=1, start="1994-02-10", end="1997-09-20"),
     "P04": lambda t: reports.provider_productivity(t, min_encounters=1),
+    "P04a": lambda t: reports.provider_productivity(t, hospital_id=2, department_id=11),
     "P05": lambda t: reports.claim_denial_report(t, start="1996-03-15", end="1998-07-10", min_rate=5),
     "P06": lambda t: reports.monthly_revenue_cycle(t, AS_OF, start="1996-03-15"),
     "P07": lambda t: reports.telehealth_operations(t, end="1999-12-31", hospital_id=1),
@@ -269,6 +271,19 @@ def _split_sizes(t: Tables) -> DataFrame:
     )
 
 
+_FITS: WeakKeyDictionary[Tables, risk_model.Fit] = WeakKeyDictionary()
+
+
+def _train(t: Tables) -> risk_model.Fit:
+    _FITS[t] = risk_model.fit(_predictions(t))
+    return _FITS[t]
+
+
+def _trained(t: Tables) -> risk_model.Fit:
+    """The forest of M07 over the same tables; it is grown here if M07 has not run."""
+    return _FITS.get(t) or _train(t)
+
+
 RISK_MODEL: dict[str, Callable[[Tables], DataFrame]] = {
     "M01": lambda t: risk_model.select_features(_predictions(t)),
     "M02": _coerced,
@@ -278,12 +293,12 @@ RISK_MODEL: dict[str, Callable[[Tables], DataFrame]] = {
     "M06": lambda t: risk_model.stratified_split(
         risk_model.drop_untargeted(risk_model.select_features(_predictions(t)))
     ).select(risk_model.KEY, risk_model.TARGET, "IsTest"),
-    "M07": lambda t: risk_model.forest_summary(risk_model.fit(_predictions(t))),
-    "M08": lambda t: risk_model.accuracy_report(risk_model.predict(risk_model.fit(_predictions(t)))),
-    "M09": lambda t: risk_model.classification_report(risk_model.predict(risk_model.fit(_predictions(t)))),
+    "M07": lambda t: risk_model.forest_summary(_train(t)),
+    "M08": lambda t: risk_model.accuracy_report(risk_model.predict(_trained(t))),
+    "M09": lambda t: risk_model.classification_report(risk_model.predict(_trained(t))),
     "M07_split": _split_sizes,
     "M09_stored": _stored_report,
-    "M10": lambda t: risk_model.feature_importance(risk_model.fit(_predictions(t))),
+    "M10": lambda t: risk_model.feature_importance(_trained(t)),
 }
 
 
