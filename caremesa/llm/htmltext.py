@@ -5,6 +5,11 @@ by stop-word density, length and link density; short or otherwise doubtful block
 ambiguous. Outside the article, text has to be longer and denser. In the second pass
 ambiguous blocks take the label of their nearest decided neighbour in the same part of
 the page.
+
+Elements with a role of their own (menus, footers, forms) are other parts of a page. Words in
+a class, id or role, and marks of hidden elements, only suggest one: a marked region that
+holds the article, or most of the text that looks like one, is a wrapper, and its mark says
+nothing. A compound of which only one word is known raises what a block has to show.
 """
 
 from __future__ import annotations
@@ -55,7 +60,25 @@ OTHER_PARTS = frozenset(
 )
 # Whole blocks that announce an advert.
 AD_LABELS = frozenset("ad advert advertisement sponsored promoted anzeige werbung publicité annonce sponsorisé publicidad anuncio patrocinado".split())
-COMMENTS = frozenset("comment comments reply replies".split())
+COMMENTS = frozenset("comment comments reply replies respond disqus".split())
+# Words that go with another to name a part of a page, and first words that only mention one.
+PLACES = frozenset(
+    """
+    area bar block body bottom box button buttons col column container content cta footer form frame group header holder inner
+    item items layer left link links list main message outer panel primary right row secondary section site slot space top
+    unit wrap wrapper page global mobile desktop small large first second big mini the
+    """.split()
+)
+MENTIONS = frozenset("with has no without not non is hide show js".split())
+# Words of notices on cookies and subscriptions, with those that ask for something.
+NOTICE_WORDS = frozenset(
+    """
+    cookie cookies consent privacy policy preferences settings browser website newsletter inbox email tracking
+    datenschutz einwilligung einstellungen datenschutzerklärung confidentialité préférences consentement
+    privacidad preferencias consentimiento suscríbete
+    """.split()
+)
+ASKING = frozenset("accept agree subscribe consent sign allow akzeptieren zustimmen abonnieren accepter acceptez abonnez aceptar acepta suscríbete".split())
 MAIN = ("article", "main")
 
 _TOKEN = re.compile(
@@ -65,28 +88,68 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
-_MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'=<>/]++)(?:\s*+=\s*+(?:"([^"]*+)"?|'([^']*+)'?|([^\s"'>]++)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"[^\W\d_]+")
 GOOD, BAD, OPEN = 1, 0, None
+#: What a mark says of its region: a part that is not the article, reader comments, hidden, or perhaps another part.
+OTHER, COMMENT, HIDDEN, PERHAPS = "other", "comment", "hidden", "perhaps"
+
+
+def attributes_of(text: str) -> dict[str, str]:
+    """Attributes by lower-case name, the first of a name; an unquoted value may hold slashes."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        found.setdefault(m[1].lower(), next((value for value in m.groups()[1:] if value is not None), ""))
+    return found
+
+
+def mark_of(attributes: dict[str, str]) -> str | None:
+    """What the attributes of an element say of its region."""
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or _NO_DISPLAY.search(attributes.get("style", "")):
+        return HIDDEN
+    found = None
+    for name in ("class", "id", "role"):
+        for token in attributes.get(name, "").split():
+            words = [word for word in re.split(r"[\W_\d]+", _CAMEL.sub("-", token).lower()) if word]
+            if not words or words[0] in MENTIONS or not OTHER_PARTS.intersection(words):
+                continue
+            if all(word in OTHER_PARTS or word in PLACES or len(word) < 2 for word in words):
+                return COMMENT if COMMENTS.intersection(words) else OTHER
+            found = PERHAPS
+    return found
 
 
 @dataclass
 class Block:
-    """Text between two breaks. ``part``: the number of the article or main element around it, 0 outside."""
+    """Text between two breaks.
+
+    ``part``: the number of the article or main element around it, 0 outside. ``other``:
+    an element around it is no part of an article. ``regions``: the marked elements
+    around it. ``doubtful``: it has to show more to count as text.
+    """
 
     text: str
     linked: int
     part: int
     other: bool
     heading: bool
+    regions: tuple[int, ...] = ()
+    doubtful: bool = False
+
+
+_TOP = ("", 0, False, False, ())
 
 
 @dataclass
 class _Page:
     blocks: list[Block] = field(default_factory=list)
-    #: open elements: name, number of the part, stands in another part of the page, is a link
-    stack: list[tuple[str, int, bool, bool]] = field(default_factory=list)
+    #: open elements: name, number of the part, stands in another part of the page, is a link, marked regions
+    stack: list[tuple[str, int, bool, bool, tuple[int, ...]]] = field(default_factory=list)
+    #: by region: what its mark says, and whether an article or main element begins in it
+    marks: list[str] = field(default_factory=list)
+    holds: list[bool] = field(default_factory=list)
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     open: Counter = field(default_factory=Counter)
@@ -102,8 +165,8 @@ class _Page:
     def close_block(self) -> None:
         text = " ".join("".join(self.pieces).split())
         if text:
-            _, part, other, _ = self.stack[-1] if self.stack else ("", 0, False, False)
-            self.blocks.append(Block(text, self.linked, part, other, self.heading))
+            _, part, other, _, regions = self.stack[-1] if self.stack else _TOP
+            self.blocks.append(Block(text, self.linked, part, other, self.heading, regions))
         self.pieces, self.linked, self.heading = [], 0, False
 
     def start(self, name: str, attributes: str) -> None:
@@ -113,21 +176,25 @@ class _Page:
             self.heading = name in ("h1", "h2", "h3", "h4", "h5", "h6")
         elif name == "br":
             self.pieces.append(" ")
-        if name in VOID or attributes.endswith("/"):
+        if name in VOID:
             return
-        _, part, other, link = self.stack[-1] if self.stack else ("", 0, False, False)
-        words = {w for m in _MARKS.finditer(attributes) for w in re.split(r"[\W_]+", (m[1] or m[2] or m[3] or "").lower())}
+        _, part, other, link, regions = self.stack[-1] if self.stack else _TOP
+        mark = mark_of(attributes_of(attributes)) if attributes else None
         if name in MAIN:
-            other = other or bool(words & COMMENTS) or (name == "article" and any(e[0] == "article" for e in self.stack))
+            comment = mark == COMMENT or (name == "article" and any(e[0] == "article" for e in self.stack))
+            other = other or comment
+            if not other:
+                for region in regions:
+                    self.holds[region] = True
             self.parts += 1
             part = self.parts
         elif name in ASIDE and not (name == "header" and part):
             other = True
-        elif name not in ("html", "body") and (words & OTHER_PARTS or ("header" in words and not part)):
-            other = True
-        if attributes and _HIDDEN.search(attributes):
-            other = True
-        self.stack.append((name, part, other, link or name == "a"))
+        if mark and name not in ("html", "body") and not (name in MAIN and mark != HIDDEN):
+            self.marks.append(mark)
+            self.holds.append(name in MAIN)
+            regions = (*regions, len(self.marks) - 1)
+        self.stack.append((name, part, other, link or name == "a", regions))
         self.open[name] += 1
 
     def _imply_ends(self, name: str) -> None:
@@ -166,21 +233,73 @@ def blocks_of(page: str | None) -> list[Block]:
     if at < len(page):
         state.add(page[at:])
     state.close_block()
+    _weigh(state)
     return state.blocks
 
 
+def _weigh(page: _Page) -> None:
+    """Decides what the marks say of each block: that of a wrapper says nothing.
+
+    A wrapper holds an article or main element, or all text of its part of the page but
+    headings. Unless it is hidden or comments, several blocks that look like text will do
+    if they are most of the article's text or, on a page without an article, most of
+    what looks like text.
+    """
+    has_main = any(block.part and not block.other for block in page.blocks)
+    texts, looks, several, whole, part_of = Counter(), Counter(), Counter(), Counter(), {}
+    like_text = 0
+    for block in page.blocks:
+        if block.other or block.heading or (has_main and not block.part):
+            continue
+        size, good = len(block.text), _looks_like_text(block, 1)
+        whole[block.part] += size
+        like_text += size * good
+        for region in block.regions:
+            part_of[region] = block.part if region not in part_of else min(block.part, part_of[region])
+            texts[region] += size
+            looks[region] += size * good
+            several[region] += good
+
+    def is_wrapper(region: int, mark: str) -> bool:
+        if page.holds[region] or region not in part_of:
+            return page.holds[region]
+        total = whole[part_of[region]]
+        mostly = several[region] >= 2 and 2 * looks[region] > (total if has_main else like_text)
+        return texts[region] == total or (mostly and mark not in (COMMENT, HIDDEN))
+
+    wrappers = {region for region, mark in enumerate(page.marks) if is_wrapper(region, mark)}
+    for block in page.blocks:
+        said = {page.marks[region] for region in block.regions if region not in wrappers}
+        block.other = block.other or bool(said - {PERHAPS})
+        block.doubtful = PERHAPS in said
+
+
+def _looks_like_text(block: Block, times: int) -> bool:
+    """Long, dense in stop words, and not a link."""
+    if block.linked > LINKED * len(block.text) or len(block.text) < times * LONG:
+        return False
+    words = _WORD.findall(block.text.lower())
+    return sum(w in STOP_WORDS for w in words) >= times * DENSE * len(words)
+
+
 def first_pass(block: Block, has_main: bool) -> int | None:
     """GOOD, BAD or OPEN by place, link density, length and stop-word density."""
-    if block.other or _is_ad_label(block):
+    if block.other or _is_ad_label(block) or _is_notice(block):
         return BAD
     if block.linked > LINKED * len(block.text):
         # an article's own title is often a link to it
         return OPEN if block.part and block.heading else BAD
-    times = OUTSIDE if has_main and not block.part else 1
+    times = (OUTSIDE if has_main and not block.part else 1) * (OUTSIDE if block.doubtful else 1)
+    return GOOD if _looks_like_text(block, times) else OPEN
+
+
+def _is_notice(block: Block) -> bool:
+    """A short block that asks for consent or a subscription, whatever its markup."""
+    if len(block.text) > 6 * LONG:
+        return False
     words = _WORD.findall(block.text.lower())
-    if len(block.text) >= times * LONG and sum(w in STOP_WORDS for w in words) >= times * DENSE * len(words):
-        return GOOD
-    return OPEN
+    about = {word for word in words if word in NOTICE_WORDS}
+    return len(about) >= 2 and not ASKING.isdisjoint(words) and 8 * sum(word in about for word in words) >= len(words)
 
 
 def _is_ad_label(block: Block) -> bool:
@@ -201,8 +320,8 @@ def second_pass(blocks: list[Block], labels: list[int | None]) -> list[int]:
     """Open blocks take the label of the nearest decided block of their part; of two as near, GOOD wins inside an article.
 
     Ambiguous blocks of an article without a good block are text, as markup has named it the
-    article. So are those of a page without an article that has no decided block; beside an
-    article they are not.
+    article; if it has none either, so are its links. So are ambiguous blocks of a page without
+    an article that has no decided block; beside an article they are not.
     """
     result = list(labels)
     has_main = any(block.part and not block.other for block in blocks)
@@ -228,6 +347,11 @@ def second_pass(blocks: list[Block], labels: list[int | None]) -> list[int]:
                 left, right = place[i] - place[before], place[after] - place[i]
                 tie = GOOD if blocks[i].part else BAD
                 result[i] = tie if left == right else labels[before if left < right else after]
+    articles = [i for i, block in enumerate(blocks) if block.part and not block.other]
+    if articles and not any(result[i] for i in articles):
+        for i in articles:
+            if not _is_ad_label(blocks[i]) and not _is_notice(blocks[i]):
+                result[i] = GOOD
     return result
 
 

@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 import pytest
@@ -76,3 +77,89 @@ def test_awkward_rows(spark):
 )
 def test_blocks_inside_and_outside_an_article_are_decided(page, text):
     assert htmltext.main_text(page) == text
+
+
+TEXT = GOOD.strip()
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # marks on what holds the article
+        (f"<div class='page with-sidebar'><article><p>{GOOD}</article></div>", TEXT), (f"<div class=sidebar><main><p>{GOOD}</main></div>", TEXT),
+        (f"<div id=popup-wrapper style='display:none'><div class='banner'><article><p>x</article></div></div>", "x"),
+        (f"<div class=widget><p>{GOOD}<p>{GOOD}</div><div class=widget><p>{GOOD}</div>", f"{TEXT}\n{TEXT}"),
+        (f"<div class='comments'><p>{GOOD}</div>", TEXT), (f"<p>{GOOD}<div class='comments'><p>{GOOD * 3}</div>", TEXT),
+        # compounds, mentions and values that only look like marks
+        (f"<article><p>{GOOD}<div class='social-science'>{GOOD}</div><div class='social-share'>{GOOD}</div></article>", f"{TEXT}\n{TEXT}"),
+        (f"<article><div class='has-ads no-sidebar'>{GOOD}</div><p title='the hidden truth' data-x=hidden>{GOOD}</article>", f"{TEXT}\n{TEXT}"),
+        (f"<article><div class=adBox>{GOOD}</div><div class='ad_slot-2'>{GOOD}</div><div class=Advertisement>x</div><p>{GOOD}</article>", TEXT),
+        ("<div class='social-science'><p>y</div><article>x</article>", "x"),
+        # links
+        ("<article><p><a href=x>the whole story</a></article>", "the whole story"),
+        (f"<article><p><a href=http://x.com/>link text of some length</a> and</p><p>{GOOD}</article>", TEXT),
+        (f"<article><p>{GOOD}<p><a href=http://x.com/>link</a> <i/>and more of the text, which goes on and on for the reader</article>", f"{TEXT}\nlink and more of the text, which goes on and on for the reader"),
+        # notices without any mark
+        (f"<article><p>{GOOD}<div>We use cookies on this website. Accept our cookie policy to go on.</div><p>{GOOD}</article>", f"{TEXT}\n{TEXT}"),
+        (f"<article><p>{GOOD}<div>Subscribe to our newsletter and get it in your inbox.</div></article>", TEXT),
+        (f"<article><p>{GOOD}<p>She put the cookies on a plate and they agree that it was good to eat them all.</article>", f"{TEXT}\nShe put the cookies on a plate and they agree that it was good to eat them all."),
+    ],
+)
+def test_marks_are_weighed(page, text):
+    assert htmltext.main_text(page) == text
+
+
+def test_attributes():
+    found = htmltext.attributes_of(""" CLASS="a b" id=c data-x='d "e"' hidden href=http://x/y/ class=z style = "display : none" """)
+    assert found == {"class": "a b", "id": "c", "data-x": 'd "e"', "hidden": "", "href": "http://x/y/", "style": "display : none"}
+    assert [htmltext.mark_of(htmltext.attributes_of(a)) for a in ("class='ad'", "id=siteFooter", "class='footer-art'", "class='x'", "role=navigation", "title='hidden'")] == [
+        htmltext.OTHER, htmltext.OTHER, htmltext.PERHAPS, None, htmltext.OTHER, None,
+    ]
+
+
+def test_generated_pages():
+    """Pages whose text is known because they are built from it: paragraphs in any wrappers, with other parts in between."""
+    random.seed(2)
+    words = "the and of to in is that it was for on are with by be this from at not".split()
+    noise = "house garden river mountain letter window evening story travel people market winter".split()
+    wrappers = ["div", "section", "div class='content with-sidebar'", "div class='widget-story'", "div id=main", "div class='legal-history'", "span"]
+
+    def paragraph():
+        return " ".join(random.choice(words if i % 2 else noise) for i in range(random.randint(30, 60)))
+
+    def link(text):
+        return f"<a href='http://x.com/{random.randint(0, 9)}/'>{text}</a>"
+
+    def other(depth):
+        kind = random.randrange(7)
+        links = "".join(f"<li>{link(random.choice(noise))}" for _ in range(random.randint(2, 5)))
+        return [
+            f"<nav><ul>{links}</ul></nav>", f"<ul>{links}</ul>", f"<div class='{random.choice(['ad', 'sponsored', 'ad-box', 'siteBanner'])}'>{paragraph()}</div>",
+            f"<aside><p>{paragraph()}</aside>", f"<div hidden><p>{paragraph()}</div>", f"<form>{paragraph()}</form>",
+            "<div>Please accept cookies and our privacy policy.</div>",
+        ][kind]
+
+    def body(depth):
+        parts, text = [], []
+        for _ in range(random.randint(1, 4)):
+            kind = random.random()
+            if kind < 0.5 or depth > 3:
+                own = paragraph()
+                parts.append(f"<p>{own}</p>")
+                text.append(own)
+            elif kind < 0.75:
+                parts.append(other(depth))
+            else:
+                wrapper, (inner, own) = random.choice(wrappers), body(depth + 1)
+                parts.append(f"<{wrapper}>{inner}</{wrapper.split()[0]}>")
+                text += own
+        return "".join(parts), text
+
+    for case in range(300):
+        inner, text = body(0)
+        element = random.choice(["article", "main", "div", "div class='banner wrapper'"])
+        own = [paragraph() for _ in range(8 if "banner" in element else 1)]  # a mark is overruled by most of the text
+        page = f"{other(0)}<{element}>{''.join(f'<p>{text}</p>' for text in own)}{inner}</{element.split()[0]}>{other(0)}<footer>{paragraph()}</footer>"
+        wrapper = random.choice(wrappers)
+        page = f"<html><body class='no-ads'><{wrapper}>{page}</{wrapper.split()[0]}>"
+        assert htmltext.main_text(page) == "\n".join([*own, *text]), (case, page)
