@@ -39,6 +39,14 @@ def settle(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column of the frame has."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(frame: DataFrame, within: Sequence[str] = (), buckets: int = 8192) -> DataFrame:
     """Numbers all rows from 0 without gaps, separately for each value of ``within``.
 

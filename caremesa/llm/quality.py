@@ -255,6 +255,10 @@ def judge(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with all their columns."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang", "source")
-    return judge(rows, ["_row"]).where("kept").select("_row.*")
+    """The rows of ``docs`` (text, lang, source) that ``judge`` keeps, with all their columns as they are.
+
+    Nulls, empty and long texts and repeated rows as in ``judge``: a null or empty text
+    goes, as it has too few words. An empty table gives no rows. Other columns may have any names.
+    """
+    whole = F.struct(*(c(f"`{column}`") for column in docs.columns))
+    return judge(docs.select(whole.alias("_row"), "text", "lang", "source"), ["_row"]).where("kept").select("_row.*")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caremesa.llm.common import c, settle
+from caremesa.llm.common import c, free_name, settle
 from caremesa.llm.components import roots
 
 BITS, SEED, WORDS = 4, 42, 4
@@ -190,11 +190,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows that share it are told apart by a 128-bit hash of all columns; equal rows count
     once. A null doc_id is larger than any other. The texts are shuffled once; what is
-    decided travels as hashes. Columns of map type are not allowed.
+    decided travels as hashes. A null text has no words, like an empty one, and long texts
+    are read whole. An empty table gives no rows. Other columns may have any names; columns of
+    map type are not allowed.
     """
-    keys = [F.xxhash64(*docs.columns).alias("_k1"), F.xxhash64(F.lit(1), *docs.columns).alias("_k2")]
-    prints = settle(fingerprints(docs.select("doc_id", "text", *keys), "doc_id", "_k1", "_k2"))
+    names = [free_name(docs, "_k1"), free_name(docs, "_k2")]
+    columns = [c(f"`{column}`") for column in docs.columns]
+    keys = [F.xxhash64(*columns).alias(names[0]), F.xxhash64(F.lit(1), *columns).alias(names[1])]
+    prints = settle(fingerprints(docs.select("doc_id", "text", *keys), "doc_id", *names))
     found = prints.join(components(prints), c("fp") == c("_fp"))
-    first = F.min(F.struct(c("doc_id").isNull().alias("none"), "doc_id", "_k1", "_k2"))
-    chosen = settle(found.groupBy("root").agg(first.alias("row")).select("row._k1", "row._k2"))
-    return docs.select("*", *keys).dropDuplicates(["_k1", "_k2"]).join(chosen, ["_k1", "_k2"], "left_semi").select(*docs.columns)
+    first = F.min(F.struct(c("doc_id").isNull().alias("none"), "doc_id", *names))
+    chosen = settle(found.groupBy("root").agg(first.alias("row")).select(*(f"row.{name}" for name in names)))
+    return docs.select("*", *keys).dropDuplicates(names).join(chosen, names, "left_semi").select(*columns)

@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,14 +24,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caremesa.llm.common import c, settle
+from caremesa.llm.common import c, free_name, settle
 
 CLASSES = 64
 THRESHOLD = 0.3
-#: The classifier is fitted on about this many labelled rows (a fixed hash of doc_id picks them), at most that
-#: many features are looked at, and a feature has to mark that many toxic training rows.
-FIT_ROWS, FIT_FEATURES, SUPPORT = 20_000, 4_000, 3
-PRECISION = 0.9
+#: The classifier is fitted on the distinct texts of about this many labelled rows (a fixed hash of doc_id picks them). A
+#: feature has to mark that many toxic texts, nearly none that are not toxic, and so many that no chosen feature explains.
+FIT_ROWS, SUPPORT, PRECISION, LEAST = 20_000, 3, 0.9, 2.0
 SMOOTHING = 8.0
 
 # Letters that a digit or sign may stand for.
@@ -177,14 +177,12 @@ class Restorer:
         return "".join(reversed(parts))
 
     def read(self, token: str) -> list[str]:
-        """Restored words of a token. Tokens beyond 200 characters are no words and are decoded in parts."""
+        """Restored words of a token, decoded as a whole."""
         if token.isalpha() and not _TRIPLE.search(token):
             return [token]
         if not _SUSPECT.search(token):
             return _WORD.findall(token)
-        parts = [token[i : i + 200] for i in range(0, len(token), 200)]
-        spaced = [bool(_APART.match(part)) for part in parts]
-        return _WORD.findall("".join(map(self.decode, parts, spaced)))
+        return _WORD.findall(self.decode(token, bool(_APART.match(token))))
 
     def tokens(self, text: str | None) -> list[str]:
         """The words of a text as they stand, in lower case; runs of single characters are read as one."""
@@ -192,7 +190,7 @@ class Restorer:
         return _SPACED.sub(self._joined, text).split()
 
     def _joined(self, span: re.Match) -> str:
-        return "".join(self.decode(span[0][i : i + 400], True) for i in range(0, len(span[0]), 400))
+        return self.decode(span[0], True)
 
     def words(self, text: str | None) -> Counter:
         """Number of times that each restored word occurs."""
@@ -285,13 +283,16 @@ def _kept(key: str, make):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and toxic of about FIT_ROWS labelled rows outside the held-out quarter."""
+    """text and toxic of the distinct texts of about FIT_ROWS labelled rows outside the held-out quarter.
+
+    A text with many copies counts once, and as toxic if one of them is.
+    """
     known = labels.where(c("doc_id").isNotNull() & c("toxic").isNotNull() & ~held_out(c("doc_id")))
     known = known.groupBy(c("doc_id").alias("_id")).agg(F.max("toxic").alias("toxic"))
     steps = 1 << 20
     cut = min(steps, steps * FIT_ROWS // max(1, known.count()))
     sample = known.where(F.pmod(F.xxhash64("_id"), F.lit(steps)) < cut)
-    return docs.join(F.broadcast(sample), c("doc_id") == c("_id")).select("text", "toxic")
+    return docs.join(F.broadcast(sample), c("doc_id") == c("_id")).groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -320,7 +321,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[dict[str
     counted = rows.mapInPandas(count, "feature string, t bigint, n bigint")
     counted = counted.groupBy("feature").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
     good = counted.where((c("t") >= SUPPORT) & (c("t") >= PRECISION * c("n")))
-    listed = [tuple(row) for row in good.orderBy(c("t").desc(), "feature").limit(FIT_FEATURES).collect()]
+    listed = sorted(tuple(row) for row in good.collect())  # of the distinct texts of about FIT_ROWS rows
     numbers = {feature: i for i, (feature, _, _) in enumerate(listed)}
 
     def found(text: pd.Series) -> pd.Series:
@@ -328,7 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[dict[str
         return pd.Series([sorted(numbers[f] for f in features(own.words(t)) if f in numbers) for t in text], dtype=object)
 
     toxic = rows.where("toxic = 1").select(F.pandas_udf(found, "array<int>")("text").alias("f"))
-    # of about FIT_ROWS rows at most; those with the same features count together
+    # of the same texts; those with equal features count together
     marked = [(row["f"], row["n"]) for row in toxic.groupBy("f").agg(F.count(F.lit(1)).alias("n")).collect()]
     chosen = cover(listed, marked)
     total = sum(n for _, n in marked)
@@ -338,44 +339,57 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[dict[str
 
 
 def cover(listed: list[tuple[str, int, int]], marked: list[tuple[list[int], int]]) -> dict[str, float]:
-    """Greedy choice among ``listed`` (feature, toxic rows, rows); ``marked``: the features of toxic rows, and their number.
+    """Greedy choice among ``listed`` (feature, toxic texts, texts); ``marked``: the features of toxic texts, and their number.
 
-    A row counts half as much with each choice that marks it, so that every telling word is
-    found and the chance words of a text with many copies are not. Of words with the same
-    beginning one is chosen; of equals the most specific one.
+    A text counts half as much with each choice that marks it, so that every telling word
+    is found, however rare beside others, and the chance words of texts that are explained
+    are not. A choice has to mark at least ``LEAST`` by that count, less the texts it
+    marks wrongly. Of words with the same beginning one is chosen; of equals the most specific.
     """
+    if not listed:
+        return {}
     bare = [feature.rpartition("#")[0].lstrip("=") for feature, _, _ in listed]
-    weights, chosen = [float(n) for _, n in marked], {}
-    left = set(range(len(listed)))
-    least = max(2.0, sum(weights) / 100)
-    while left:
-        gain = dict.fromkeys(left, 0.0)
-        for (features, _), weight in zip(marked, weights):
-            for f in features:
-                if f in gain:
-                    gain[f] += weight
-        best = max(gain, key=lambda f: (gain[f] - (listed[f][2] - listed[f][1]), len(listed[f][0]), listed[f][0]))
-        if gain[best] - (listed[best][2] - listed[best][1]) < least:
+    by_bare: dict[str, list[int]] = {}
+    for i, word in enumerate(bare):
+        by_bare.setdefault(word, []).append(i)
+    ordered = sorted(by_bare)
+    specific = np.empty(len(listed), np.int64)
+    specific[sorted(range(len(listed)), key=lambda f: (len(listed[f][0]), listed[f][0]))] = range(len(listed))
+    wrong = np.array([n - t for _, t, n in listed], float)
+    texts = np.repeat(np.arange(len(marked)), [len(own) for own, _ in marked])
+    held = np.array([f for own, _ in marked for f in own], np.int64)
+    order = np.argsort(held, kind="stable")
+    texts, held = texts[order], held[order]
+    starts = np.searchsorted(held, np.arange(len(listed) + 1))
+    weights, chosen = np.array([n for _, n in marked], float), {}
+    left = np.ones(len(listed), bool)
+    while left.any():
+        gain = np.where(left, np.bincount(held, weights[texts], len(listed)) - wrong, -np.inf)
+        if gain.max() < LEAST:
             break
+        best = max(np.flatnonzero(gain == gain.max()), key=specific.__getitem__)
         feature, t, n = listed[best]
         chosen[feature] = (t + 0.5) / (n + 1)
-        weights = [weight / 2 if best in features else weight for (features, _), weight in zip(marked, weights)]
-        left = {f for f in left if not bare[f].startswith(bare[best]) and not bare[best].startswith(bare[f])}
+        weights[texts[starts[best] : starts[best + 1]]] /= 2
+        word = bare[best]
+        alike = ordered[bisect_left(ordered, word) : bisect_left(ordered, word + chr(0x10FFFF))]
+        for other in (*alike, *(word[:k] for k in range(len(word)))):
+            left[by_bare.get(other, [])] = False
     return chosen
 
 
-def with_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All columns of ``docs`` (doc_id, text) and ``_score``, which rests on the text alone."""
+def with_score(docs: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """All columns of ``docs`` (doc_id, text) and the score, which rests on the text alone, under a name that is free."""
     texts = docs.select("doc_id", "text")
     model = language_model(texts)
     weights, base = fit(texts, labels, model)
-    name = uuid.uuid4().hex
+    key = uuid.uuid4().hex
 
     def score(text: pd.Series) -> pd.Series:
-        own = _kept(name, lambda: Scorer(model, weights, base))
+        own = _kept(key, lambda: Scorer(model, weights, base))
         return pd.Series([own.score(t) for t in text], dtype="float64")
 
-    return docs.withColumn("_score", F.pandas_udf(score, "double")("text"))
+    return docs.withColumn(name, F.pandas_udf(score, "double")("text"))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -389,11 +403,17 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     labels every score is that of a text without marks, below the threshold. An empty
     table gives no rows. Other columns are ignored.
     """
-    scored = with_score(docs.select("doc_id", "text"), labels)
-    predicted = (c("_score") >= THRESHOLD).cast("int")
-    return scored.select("doc_id", held_out(c("doc_id")).alias("held_out"), c("_score").alias("score"), predicted.alias("predicted"))
+    scored = with_score(docs.select("doc_id", "text"), labels, "score")
+    predicted = (c("score") >= THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out(c("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose score stays below the threshold, with all their columns (none named _score)."""
-    return with_score(docs, labels).where(c("_score") < THRESHOLD).select(*docs.columns)
+    """The rows of ``docs`` (doc_id, text) whose score stays below the threshold, with all their columns as they are.
+
+    Nulls, empty and long texts, ties and repeated rows as in ``score``: a null or empty
+    text stays, and equal texts go or stay together. An empty table gives no rows. Other
+    columns may have any names.
+    """
+    name = free_name(docs, "score")
+    return with_score(docs, labels, name).where(c(name) < THRESHOLD).select(*(c(f"`{column}`") for column in docs.columns))

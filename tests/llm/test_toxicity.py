@@ -1,5 +1,6 @@
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -98,7 +99,108 @@ def test_awkward_rows(spark):
 
 
 def test_long_spans(model):
+    """A disguised word is read alike wherever it stands in a long token or a long spaced passage."""
     restorer = toxicity.Restorer(model)
-    assert restorer.restore("l o s e r " * 300).replace(" ", "").count("loser") > 100
+    assert restorer.restore("l o s e r " * 300).replace(" ", "").count("loser") > 290
     assert "oo" in restorer.restore("0o" * 2_000)
     assert len(restorer.restore(LONG)) > len(LONG) * 0.9
+    for lead in range(190, 211):
+        assert restorer.restore("#" * lead + "l0ser").endswith("loser")
+    for lead in range(380, 411, 2):
+        assert restorer.restore("_ " * (lead // 2) + "m o r o n").replace(" ", "").endswith("moron")
+
+
+RARE = {"zwarvok": 25, "plimdus": 9, "quorvex": 5, "drubnik": 3}
+
+
+def test_rare_words_beside_a_text_with_many_copies(spark):
+    """A third of the rows is one toxic text; others have telling words on 3 to 25 rows."""
+    words = "even odd plain house garden river window letter story people market evening travel mountain".split()
+    pick = lambda i, k: words[(i * 7 + k * 3 + i // 5) % len(words)]
+    text = lambda i: f"text {i} about the {pick(i, 1)} and a {pick(i, 2)} near the {pick(i, 3)} of row {i * i}"
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    ids = iter(i for i in range(10_000) if not held(i))
+    docs, labels = [], []
+
+    def add(content, toxic):
+        i = next(ids)
+        docs.append((i, content))
+        labels.append((i, toxic))
+
+    for i in range(400):
+        add(text(i), 0)
+    for _ in range(300):
+        add("you are a grumblewort and the whole copied passage says so again", 1)
+    for word, n in RARE.items():
+        for k in range(n):
+            add(f"{text(500 + 40 * n + k)} {word}", 1)
+    new = [(20_000 + 2 * k, f"a {word} it is") for k, word in enumerate(RARE)] + [(30_000, "the whole garden says so again"), (30_001, text(3))]
+    frame = spark.createDataFrame(docs + new, "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in toxicity.score(frame, spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()}
+    assert [found[20_000 + 2 * k]["predicted"] for k in range(len(RARE))] == [1] * len(RARE)
+    assert [found[30_000]["predicted"], found[30_001]["predicted"]] == [0, 0]
+
+
+def slow_cover(listed, marked):
+    """The greedy choice with plain loops."""
+    weights, chosen, left = [float(n) for _, n in marked], {}, set(range(len(listed)))
+    bare = [feature.split("#")[0].lstrip("=") for feature, _, _ in listed]
+    while left:
+        net = {f: sum(w for (own, _), w in zip(marked, weights) if f in own) - (listed[f][2] - listed[f][1]) for f in left}
+        best = max(left, key=lambda f: (net[f], len(listed[f][0]), listed[f][0]))
+        if net[best] < toxicity.LEAST:
+            break
+        chosen[listed[best][0]] = (listed[best][1] + 0.5) / (listed[best][2] + 1)
+        weights = [w / 2 if best in own else w for (own, _), w in zip(marked, weights)]
+        left = {f for f in left if not bare[f].startswith(bare[best]) and not bare[best].startswith(bare[f])}
+    return chosen
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_choice_equals_plain_loops(seed):
+    rng = np.random.default_rng(seed)
+    words = sorted({"".join(rng.choice(list("ab"), rng.integers(3, 7))) for _ in range(30)})
+    names = sorted({f"{'=' if rng.random() < 0.3 else ''}{word}#{rng.integers(1, 3)}" for word in words for _ in range(2)})
+    marked = [(sorted(rng.choice(len(names), rng.integers(0, 6), replace=False).tolist()), int(rng.integers(1, 5))) for _ in range(60)]
+    listed = []
+    for f, name in enumerate(names):
+        t = sum(n for own, n in marked if f in own)
+        listed.append((name, t, t + int(rng.integers(0, 2))))
+    assert toxicity.cover(listed, marked) == slow_cover(listed, marked)
+    assert toxicity.cover([], [([], 3)]) == {}
+
+
+def test_scores_equal_a_slow_version(spark):
+    """Features, choice and scores computed text by text, over whole tables, with the same language model."""
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{name}.parquet") for name in ("documents", "labels"))
+    docs = docs.where("doc_id % 3 = 0").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["doc_id"] in texts and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
+    restorer = toxicity.Restorer(toxicity.language_model(docs))
+    features = {text: toxicity.features(restorer.words(text)) for text in set(texts.values())}
+    training = {}
+    for i, label in toxic.items():
+        training[texts[i]] = max(label, training.get(texts[i], 0))
+    n, t = Counter(), Counter()
+    for text, label in training.items():
+        n.update(features[text])
+        t.update(features[text] if label else ())
+    listed = sorted((f, t[f], n[f]) for f in n if t[f] >= toxicity.SUPPORT and t[f] >= toxicity.PRECISION * n[f])
+    numbers = {f: i for i, (f, _, _) in enumerate(listed)}
+    marked = [(sorted(numbers[f] for f in features[text] if f in numbers), 1) for text, label in training.items() if label]
+    chosen = slow_cover(listed, marked)
+    missed = sum(not any(listed[f][0] in chosen for f in own) for own, _ in marked)
+    base = min(0.25, (missed + 0.1) / (missed + max(1, len(training) - len(marked)) + 1))
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(docs, labels).collect()}
+    for i, text in texts.items():
+        clean = 1 - base
+        for feature in features[text] & set(chosen):
+            clean *= 1 - chosen[feature]
+        assert math.isclose(found[i], 1 - clean, abs_tol=1e-9)
+
+
+def test_columns_of_any_name_stay(spark):
+    none = spark.createDataFrame([], "doc_id bigint, toxic int")
+    frame = documents(spark).selectExpr("*", "0.123 as _score", "1 as score_", "2 as `a.b`")
+    kept = toxicity.keep(frame, none)
+    assert kept.columns == frame.columns and sorted(map(str, kept.collect())) == sorted(map(str, frame.collect()))
