@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from caremesa.llm.common import c, each_copy, numbered, settle
 
 CAPACITY, END = 1024, 2
+#: Pieces of one length that are numbered together.
+BUCKET_ROWS = 100_000
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 _PIECE = "array<struct<piece int, start bigint, length bigint, ids_crc32 bigint>>"
