@@ -210,7 +210,6 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY
     cut = settle(pieces(docs, capacity, vocabulary, carry))
     counts = {row["length"]: row["n"] for row in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     buckets = max(256, -(-max(counts.values(), default=0) // BUCKET_ROWS))  # follows the most frequent length
-    buckets = max(256, -(-max(counts.values(), default=0) // BUCKET_ROWS))  # follows the most frequent length
     places = Plan(counts, capacity).places  # uses the counts up
     plan = F.broadcast(docs.sparkSession.createDataFrame(places, _PLAN))
     items = each_copy(numbered(cut, ["length"], buckets), "_number")
