@@ -1,6 +1,7 @@
 from caremesa.functions.exprs import (
     age_years,
     as_date,
+    as_moment,
     blank,
     flag,
     full_name,
@@ -16,6 +17,7 @@ from caremesa.functions.exprs import (
 __all__ = [
     "age_years",
     "as_date",
+    "as_moment",
     "blank",
     "flag",
     "full_name",

@@ -11,8 +11,15 @@ from pyspark.sql import functions as F
 HUNDRED = Decimal("100.0")
 
 
+def as_moment(value: dt.date | str) -> dt.datetime:
+    """A date, a date with a time of day, or the text of either; a date means its midnight."""
+    if isinstance(value, str):
+        return dt.datetime.fromisoformat(value)
+    return value if isinstance(value, dt.datetime) else dt.datetime.combine(value, dt.time())
+
+
 def as_date(value: dt.date | str) -> dt.date:
-    return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
+    return as_moment(value).date()
 
 
 def month_start(ts: Column) -> Column:

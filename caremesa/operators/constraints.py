@@ -133,8 +133,22 @@ def _reported(tables: Tables, rules: Sequence[Rule], counted: DataFrame | None)
     return report.join(counted.select("rule", "v"), "rule", "left").select("RuleName", "TableName", violations)
 
 
-def _listed(columns: Sequence[str]) -> str:
-    return ", ".join(f"`{name}`" for name in columns)
+def _hash_keys(tables: Tables, rule: KeyRule) -> str:
+    """SQL text of the key columns for a hash: texts that are equal under their collation give equal values.
+
+    Texts of a collation without case or trailing blanks are taken without both; under any
+    other collation every text gives the same value, and only the comparison tells them apart.
+    """
+    types, keys = tables.types(rule.table), []
+    for name in rule.columns:
+        collation = getattr(types[name.lower()], "collation", None) or "UTF8_BINARY"
+        if collation == "UTF8_BINARY":
+            keys.append(f"`{name}`")
+        elif collation.startswith("UTF8_LCASE"):
+            keys.append(f"lower(rtrim(collate(`{name}`, 'UTF8_BINARY')))")
+        else:
+            keys.append(f"`{name}` is null")
+    return ", ".join(keys)
 
 
 def _record(condition: str, number: int, **fields: str) -> str:
@@ -200,7 +214,8 @@ def check_keys(tables: Tables, rules: Sequence[KeyRule], hashed: str = "xxhash64
     number = {id(rule): i for i, rule in enumerate(ordered)}
     frames = []
     for table, mine in by_table.items():
-        records = [_record(f"{rule.condition or 'true'}", number[id(rule)], hash=hashed.format(keys=_listed(rule.columns))) for rule in mine]
+        hashes = [hashed.format(keys=_hash_keys(tables, rule)) for rule in mine]
+        records = [_record(rule.condition or "true", number[id(rule)], hash=text) for rule, text in zip(mine, hashes)]
         frames.append(_exploded(_read_for(tables, table, mine), records))
     twice = settled(stack(frames).groupBy("rule", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rule", "hash"))
     suspects = sorted(row["rule"] for row in twice.select("rule").distinct().collect())  # at most one a rule
@@ -211,8 +226,9 @@ def check_keys(tables: Tables, rules: Sequence[KeyRule], hashed: str = "xxhash64
         rule = ordered[i]
         rows = _read_for(tables, rule.table, [rule])
         rows = rows.where(rule.condition) if rule.condition else rows
-        again = rows.withColumn("hash", F.expr(hashed.format(keys=_listed(rule.columns)))).join(twice.where(c("rule") == i).select("hash"), "hash", "left_semi")
-        repeated = again.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        again = rows.withColumn("_hash", F.expr(hashed.format(keys=_hash_keys(tables, rule))))
+        again = again.join(twice.where(c("rule") == i).select(c("hash").alias("_hash")), "_hash", "left_semi")
+        repeated = again.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
         counted.append(repeated.agg(F.count(F.lit(1)).alias("v")).select(F.lit(i).alias("rule"), "v"))
     return _reported(tables, ordered, stack(counted))
 

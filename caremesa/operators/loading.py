@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caremesa.operators import ordered
+from caremesa.sources.snapshots import SnapshotDataset
 
 c = F.col
 
@@ -41,6 +42,15 @@ def append_new(batch: DataFrame, path: str, keys: Sequence[str]) -> None:
     new_rows(batch, target, keys).write.mode("append").parquet(path)
 
 
+def append_snapshot(batch: DataFrame, dataset: SnapshotDataset, keys: Sequence[str]) -> int:
+    """The same append to a dataset of snapshots; gives the number of the snapshot.
+
+    Readers see all of an append or nothing, a broken run leaves no trace, and of two writers
+    at once the second looks again.
+    """
+    return dataset.append_new(batch, keys)
+
+
 def round_robin(frame: DataFrame, key: str, dimension: DataFrame, dimension_key: str) -> DataFrame:
     """The n-th row of the frame gets the ((n-1) mod size)-th dimension row.
 

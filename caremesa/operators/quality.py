@@ -7,13 +7,14 @@ for views that are already partitioned by that key the grouping adds no shuffle.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caremesa.functions import as_date, blank, flag, percent
+from caremesa.functions import as_moment, blank, flag, percent
 from caremesa.plans import views
 from caremesa.sources.tables import Tables
 
@@ -21,6 +22,22 @@ c = F.col
 RATE = "decimal(10,2)"
 
 
+@dataclass(frozen=True)
+class AsOf:
+    """The moment of a run: dates are compared with its date, times with the moment itself."""
+
+    date: Column
+    moment: Column
+    year_later: Column
+
+
+def moment_of(as_of: dt.date | str) -> AsOf:
+    """A date, or a date with a time of day; a date means its midnight."""
+    moment = as_moment(as_of)
+    literal = f"timestamp_ntz'{moment:%Y-%m-%d %H:%M:%S.%f}'"
+    return AsOf(F.lit(moment.date()), F.expr(literal), F.expr(f"{literal} + interval '1' year"))
+
+
 @dataclass(frozen=True)
 class Check:
     """``issue`` counts rows; a check without one counts duplicated keys."""
@@ -30,7 +47,7 @@ class Check:
     name: str
     description: str
     view: str
-    issue: Callable[[Column], Column] | None = None
+    issue: Callable[[AsOf], Column] | None = None
 
     @property
     def id(self) -> str:
@@ -71,10 +88,10 @@ CHECKS = (
           lambda _: blank(c("FirstName")) | blank(c("LastName"))),
     Check(4, "Patient", "Future dates of birth",
           "A patient date of birth cannot occur in the future.", "patients",
-          lambda today: c("DateOfBirth") > today),
+          lambda today: c("DateOfBirth") > today.date),
     Check(5, "Patient", "Implausible patient ages",
           "Flags calculated ages below zero or above 120 years.", "patients",
-          lambda today: (_years(today) < 0) | (_years(today) > 120)),
+          lambda today: (_years(today.date) < 0) | (_years(today.date) > 120)),
     Check(6, "Encounter", "Duplicate encounter IDs",
           "Each healthcare encounter should have one unique encounter identifier.", "encounters"),
     Check(7, "Encounter", "Missing patient references",
@@ -88,7 +105,7 @@ CHECKS = (
           lambda _: c("HospitalID").isNull()),
     Check(10, "Encounter", "Future encounter dates",
           "Historical encounter data should not contain future admission timestamps.", "encounters",
-          lambda today: c("AdmissionDateTimeUTC") > today),
+          lambda today: c("AdmissionDateTimeUTC") > today.moment),
     Check(11, "Encounter", "Discharge before admission",
           "Discharge timestamps must occur after admission timestamps.", "encounters",
           lambda _: c("DischargeDateTimeUTC") < c("AdmissionDateTimeUTC")),
@@ -132,7 +149,7 @@ CHECKS = (
           lambda _: blank(c("PlatformName"))),
     Check(25, "Telehealth", "Telehealth visits scheduled over one year ahead",
           "Flags virtual visits scheduled unusually far into the future.", "visits",
-          lambda today: c("ScheduledStartDateTimeUTC") > F.add_months(today, 12)),
+          lambda today: c("ScheduledStartDateTimeUTC") > today.year_later),
     Check(26, "AI", "Duplicate prediction IDs",
           "Each AI prediction should have one unique prediction identifier.", "predictions"),
     Check(27, "AI", "Missing AI model names",
@@ -153,7 +170,7 @@ CHECKS = (
 )
 
 
-def _counts(frame: DataFrame, view: View, checks: list[Check], today: Column) -> DataFrame:
+def _counts(frame: DataFrame, view: View, checks: list[Check], today: AsOf) -> DataFrame:
     """One row: the issue count of each check, in columns named by check id."""
     predicates = [check for check in checks if check.issue is not None]
     duplicates = [check for check in checks if check.issue is None]
@@ -172,7 +189,7 @@ def _counts(frame: DataFrame, view: View, checks: list[Check], today: Column) ->
 
 def results(tables: Tables, as_of: str, checks: Iterable[Check] = CHECKS) -> DataFrame:
     """One row per check: id, area, name, issue count, PASS or WARNING, description."""
-    today = F.lit(as_date(as_of))
+    today = moment_of(as_of)
     wanted = list(checks)
     frames = []
     for name, view in VIEWS.items():
@@ -196,8 +213,12 @@ def results(tables: Tables, as_of: str, checks: Iterable[Check] = CHECKS) -> Dat
     stacked = frames[0]
     for frame in frames[1:]:
         stacked = stacked.unionByName(frame)
+    return with_status(stacked)
+
+
+def with_status(counted: DataFrame) -> DataFrame:
     status = F.when(c("IssueCount") == 0, "PASS").otherwise("WARNING")
-    return stacked.select(
+    return counted.select(
         "CheckID", "QualityArea", "CheckName", "IssueCount", status.alias("QualityStatus"), "CheckDescription"
     )
 

@@ -98,7 +98,7 @@ def _of_patient(tables: Tables, patient_id: int | None, mrn: str | None) -> Tabl
     )
 
 
-def _of_parents(tables: Tables, period: kpis.Period, *parents: str, **wanted) -> Tables:
+def of_parents(tables: Tables, period: kpis.Period, *parents: str, **wanted) -> Tables:
     """Tables whose child facts belong to parents of the period with the wanted values; without either nothing is cut."""
     given = {name: value for name, value in wanted.items() if value is not None}
     if period == kpis.ALWAYS and not given:
@@ -143,7 +143,7 @@ def hospital_performance(tables: Tables, as_of=None, hospital_id: int | None = N
     """P03"""
     first, last = _period(start, end, 51002)
     period = _month_bounds(first, last)
-    own = _of_parents(tables, period, "insurance_claim", "telehealth_virtualvisit", HospitalID=hospital_id)
+    own = of_parents(tables, period, "insurance_claim", "telehealth_virtualvisit", HospitalID=hospital_id)
     frame = _matching(kpis.hospital_monthly_performance(own, period), HospitalID=hospital_id)
     return _months(frame, first, last).orderBy("KPI_Month", "HospitalID")
 
@@ -166,7 +166,7 @@ def claim_denial_report(
     first, last = _period(start, end, 51004)
     _require(0 <= min_rate <= 100, 51005)
     period = _month_bounds(first, last)
-    own = _of_parents(tables, period, "insurance_claim")
+    own = of_parents(tables, period, "insurance_claim")
     frame = _matching(kpis.claim_denial_monthly(own, period), HospitalName=hospital_name, PayerName=payer_name)
     floor = F.lit(Decimal(str(min_rate))).cast("decimal(9,2)")
     return (
@@ -180,7 +180,7 @@ def monthly_revenue_cycle(tables: Tables, as_of, start=None, end=None) -> DataFr
     """P06"""
     first, last = _period(start, end, 51006)
     period = _month_bounds(first, last)
-    own = _of_parents(tables, period, "insurance_claim", "billing_invoice")
+    own = of_parents(tables, period, "insurance_claim", "billing_invoice")
     return _months(kpis.revenue_cycle_monthly(own, as_of, period), first, last).orderBy("KPI_Month")
 
 
@@ -190,7 +190,7 @@ def telehealth_operations(
     """P07"""
     first, last = _period(start, end, 51007)
     period = _month_bounds(first, last)
-    own = _of_parents(tables, period, "telehealth_virtualvisit", HospitalID=hospital_id, DepartmentID=department_id)
+    own = of_parents(tables, period, "telehealth_virtualvisit", HospitalID=hospital_id, DepartmentID=department_id)
     frame = _matching(kpis.telehealth_monthly(own, period), HospitalID=hospital_id, DepartmentID=department_id)
     return _months(frame, first, last).orderBy("KPI_Month", "HospitalID", "DepartmentID")
 

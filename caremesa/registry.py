@@ -9,12 +9,13 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremesa.operators import constraints, integrity, loading, profile, quality, risk_model
+from caremesa.operators import constraints, integrity, loading, monthly, profile, publish, quality, risk_model
 from caremesa.operators.register import RuleRegister
 from caremesa.plans import kpis, library, reports, rules, views
 from caremesa.sources import files
 from caremesa.sources.derived import AS_OF, derived_tables
 from caremesa.sources.shared import shared_folder
+from caremesa.sources.snapshots import SnapshotDataset
 from caremesa.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,12 +63,41 @@ REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
 LIBRARY = {key: (lambda t, plan=plan: plan(t, AS_OF)) for key, plan in library.LIBRARY.items()}
 
 
+def _published_checks(t: Tables) -> DataFrame:
+    """The report of D32, observed on one write of each view."""
+    return publish.publish(t, AS_OF, shared_folder(t.spark))[1]
+
+
+def _refreshed(view: str) -> Callable[[Tables], DataFrame]:
+    """A monthly view that was stored without the facts of three months and then refreshed for these."""
+    late = ("1995-05-01", "1996-11-01", "1996-12-01")
+
+    def plan(t: Tables) -> DataFrame:
+        store = monthly.MonthlyStore(t.spark, view, shared_folder(t.spark), AS_OF)
+        dates = {"clinical_encounter": "AdmissionDateTimeUTC", "insurance_claim": "ServiceStartDate"}
+        months = [f"{day[:7]}" for day in late]
+
+        def early(name: str) -> Callable[[tuple[str, ...]], DataFrame]:
+            def load(columns: tuple[str, ...]) -> DataFrame:
+                rows = t.read(name, *(dict.fromkeys((*columns, dates[name])) if columns else ()))
+                return rows.where(~F.date_format(dates[name], "yyyy-MM").isin(months)).select(*(columns or rows.columns))
+
+            return load
+
+        store.build(t.replaced({name: early(name) for name in dates}))
+        store.refresh(t, late)
+        return store.read()
+
+    return plan
+
+
 QUALITY: dict[str, Callable[[Tables], DataFrame]] = {
     check.id: (lambda t, number=check.number: quality.single(t, AS_OF, number)) for check in quality.CHECKS
 } | {
     "D32": lambda t: quality.detail_report(t, AS_OF),
     "D33": lambda t: quality.summary_by_area(t, AS_OF),
     "D34": lambda t: quality.enterprise_score(t, AS_OF),
+    "D32_published": _published_checks,
     "D35": integrity.seed_counts,
     "D36": integrity.orphan_providers,
     "D37": integrity.provider_department_mismatch,
@@ -80,6 +110,9 @@ QUALITY: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+MONTHLY = {f"{view}_refreshed": _refreshed(view) for view in monthly.VIEWS}
+
+
 def rule_register(t: Tables, folder: str) -> RuleRegister:
     """The register of the declared rules over one data folder; it lasts as long as the application."""
     return RuleRegister(t, shared_folder(t.spark, f"rules-{zlib.crc32(folder.encode()):08x}"), rules.FAMILIES, AS_OF)
@@ -149,13 +182,13 @@ def _idempotent_append(t: Tables) -> DataFrame:
 
     ``Run`` is the run that added a row: 0 from the start, 1 for new ones, never 2.
     """
-    batch = t.read("clinical_encounter", "EncounterNumber", "EncounterID", "PatientID")
-    path = shared_folder(t.spark)
+    batch = t.read("clinical_encounter", "EncounterNumber", "EncounterID", "PatientID").withColumn("Run", F.lit(0))
+    dataset = SnapshotDataset(t.spark, shared_folder(t.spark), batch.schema)
     held = batch.join(t.read("insurance_claim", "EncounterID"), "EncounterID", "left_semi").select(*batch.columns)
-    held.withColumn("Run", F.lit(0)).write.parquet(path)
+    dataset.commit(0, [dataset.stage(held)])
     for run in (1, 2):
-        loading.append_new(batch.withColumn("Run", F.lit(run)), path, ["EncounterID"])
-    return t.spark.read.parquet(path)
+        loading.append_snapshot(batch.withColumn("Run", F.lit(run)), dataset, ["EncounterID"])
+    return dataset.read()
 
 
 def _round_robin(t: Tables) -> DataFrame:
@@ -307,5 +340,5 @@ def _over_tables(plan: Callable[[Tables], DataFrame]) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    plans = {**VIEWS, **REPORTS, **LIBRARY, **QUALITY, **LOADING, **RISK_MODEL}
+    plans = {**VIEWS, **REPORTS, **LIBRARY, **QUALITY, **LOADING, **RISK_MODEL, **MONTHLY}
     return {key: _over_tables(plan) for key, plan in plans.items()} | INTEGRITY

@@ -8,7 +8,8 @@ from functools import partial
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DataType
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
 # Gets the wanted columns (none: all of them) and returns just these.
 Reader = Callable[[tuple[str, ...]], DataFrame]
@@ -63,6 +64,27 @@ class Tables:
             found[name] = hashlib.sha256("\n".join(parts).encode()).hexdigest()[:16]
         return found
 
+    def replaced(self, readers: Mapping[str, Reader]) -> Tables:
+        """These tables, some read in another way."""
+        return Tables(self.spark, self._readers | dict(readers))
+
+    def collated(self, collation: str = "UTF8_LCASE_RTRIM") -> Tables:
+        """These tables with all text compared under a collation: keys, groups and lists of labels alike.
+
+        The default leaves case and trailing blanks out of account, as many databases do. Without
+        it text is compared byte by byte.
+        """
+
+        def reader(name: str) -> Reader:
+            def load(columns: tuple[str, ...]) -> DataFrame:
+                frame = self.read(name, *columns)
+                texts = [field.name for field in frame.schema if isinstance(field.dataType, StringType)]
+                return frame.withColumns({text: F.collate(text, collation) for text in texts})
+
+            return load
+
+        return Tables(self.spark, {name: reader(name) for name in self._readers})
+
     def narrowed(self, keys: Mapping[str, tuple[str, DataFrame]]) -> Tables:
         """These tables, some cut to the rows whose key is among given ones.
 
