@@ -125,7 +125,9 @@ def fit(frame: DataFrame, trees: int = TREES, seed: int = SEED, depth: int = DEP
         forest,
         IndexToString(inputCol="prediction", outputCol="PredictedLabel", labels=indexer.labels),
     ]
-    model = Pipeline(stages=stages).fit(rows.where(~c("IsTest")))
+    # every level is a pass over the rows: all cores take part, and equal keys give equal trees
+    training = rows.where(~c("IsTest")).repartition(rows.sparkSession.sparkContext.defaultParallelism, KEY)
+    model = Pipeline(stages=stages).fit(training)
     return Fit(model, features, rows.where("IsTest"))
 
 
