@@ -1,4 +1,4 @@
-"""Monthly views kept as a stored table and refreshed by months.
+"""Monthly views kept as a stored table and refreshed by months.
 
 A monthly view is stored with one partition per month. When facts of some months have changed, only these months are
 computed, from the facts that the period cut leaves, and only their partitions are replaced; all
@@ -15,18 +15,31 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from caremesa.functions import as_date
-from caremesa.plans import kpis, reports
+from caremesa.plans import kpis, reports, views
 from caremesa.sources.tables import Tables
 
 c = F.col
-MONTH, PARTITION = "KPI_Month", "Month"
-
-#: What each monthly view is built from, and the dated parents whose child facts its period cuts.
-VIEWS: dict[str, tuple[Callable[[Tables, str, kpis.Period], DataFrame], tuple[str, ...]]] = {
-    "V12": (lambda t, _, p: kpis.hospital_monthly_performance(t, p), ("insurance_claim", "telehealth_virtualvisit")),
-    "V14": (lambda t, _, p: kpis.telehealth_monthly(t, p), ("telehealth_virtualvisit",)),
-    "V15": (kpis.revenue_cycle_monthly, ("insurance_claim", "billing_invoice")),
-    "V16": (lambda t, _, p: kpis.claim_denial_monthly(t, p), ("insurance_claim",)),
+PARTITION, ADMITTED = "Month", "AdmissionDateTimeUTC"
+
+
+def _admitted(tables: Tables, period: kpis.Period) -> Tables:
+    """Tables with the encounters that begin in a period."""
+
+    def load(columns: tuple[str, ...]) -> DataFrame:
+        asked = dict.fromkeys((*columns, ADMITTED)) if columns else ()
+        rows = kpis.within(tables.read("clinical_encounter", *asked), ADMITTED, period)
+        return rows.select(*columns) if columns else rows
+
+    return tables.replaced({"clinical_encounter": load})
+
+
+#: What each monthly view is built from, the dated parents whose child facts its period cuts, and its month.
+VIEWS: dict[str, tuple[Callable[[Tables, str, kpis.Period], DataFrame], tuple[str, ...], str]] = {
+    "V03": (lambda t, _, p: views.clinical_utilization_monthly(_admitted(t, p)), (), "EncounterMonth"),
+    "V12": (lambda t, _, p: kpis.hospital_monthly_performance(t, p), ("insurance_claim", "telehealth_virtualvisit"), "KPI_Month"),
+    "V14": (lambda t, _, p: kpis.telehealth_monthly(t, p), ("telehealth_virtualvisit",), "KPI_Month"),
+    "V15": (kpis.revenue_cycle_monthly, ("insurance_claim", "billing_invoice"), "KPI_Month"),
+    "V16": (lambda t, _, p: kpis.claim_denial_monthly(t, p), ("insurance_claim",), "KPI_Month"),
 }
 
 
@@ -56,9 +69,9 @@ class MonthlyStore:
         self.spark, self.view, self.folder, self.as_of = spark, view, folder, as_of
 
     def _rows(self, tables: Tables, period: kpis.Period) -> DataFrame:
-        build, parents = VIEWS[self.view]
-        frame = kpis.within(build(reports.of_parents(tables, period, *parents), self.as_of, period), MONTH, period)
-        return frame.withColumn(PARTITION, F.date_format(MONTH, "yyyy-MM"))
+        build, parents, month = VIEWS[self.view]
+        frame = kpis.within(build(reports.of_parents(tables, period, *parents), self.as_of, period), month, period)
+        return frame.withColumn(PARTITION, F.date_format(month, "yyyy-MM"))
 
     def _write(self, rows: DataFrame, months: Iterable[str] = ()) -> set[str]:
         """Replaces the partitions of the months in ``rows``; gives those of ``months`` that have rows, counted by the write."""

@@ -34,5 +34,5 @@ def oracle_sql() -> dict[str, str]:
     plain = {name.upper(): f"select * from {name}" for name in VIEWS}
     statements = {**plain, **REPORTS, **LIBRARY, **QUALITY, **LOADING, **RISK_MODEL}
     # the same rows by another way
-    again = {f"{view}_refreshed": statements[view] for view in ("V12", "V14", "V15", "V16")} | {"D32_published": statements["D32"]}
+    again = {f"{view}_refreshed": statements[view] for view in ("V03", "V12", "V14", "V15", "V16")} | {"D32_published": statements["D32"]}
     return {key: complete(sql) for key, sql in (statements | again).items()}

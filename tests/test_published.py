@@ -94,7 +94,7 @@ def test_refresh_of_months_equals_full_recomputation(spark, tmp_path, view):
         "telehealth_virtualvisit": changed("telehealth_virtualvisit", "ScheduledStartDateTimeUTC", "VisitStatus"),
     })
     store.refresh(now, ["1995-05-01", "1995-06-15", "1997-03-03"])
-    build, _ = monthly.VIEWS[view]
+    build, _, _ = monthly.VIEWS[view]
     whole = build(now, AS_OF, kpis.ALWAYS)
     assert texts(store.read().select(*whole.columns)) == texts(whole)
     assert not (tmp_path / "Month=1997-03").exists()
