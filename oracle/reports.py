@@ -7,7 +7,8 @@ from oracle.views import cents, half_up, mean, mean_micro, mean_money, money, mo
 REPORTS: dict[str, str] = {
     "P01": "select * from v11",
     "P02": "select * from v01 where PatientID = 1",
-    "P03": "select * from v12 where HospitalID = 1 and KPI_Month between date '1994-02-01' and date '1997-09-01'",
+    "P03": "select * from v12 where HospitalID = 1",
+    "P03a": "select * from v12 where HospitalID = 1 and KPI_Month between date '1994-02-01' and date '1997-09-01'",
     "P04": "select * from v13 where TotalEncounters >= 1",
     "P04a": "select * from v13 where HospitalID = 2 and DepartmentID = 11",
     "P05": """select * from v16 where KPI_Month between date '1996-03-01' and date '1998-07-01'

@@ -4,6 +4,7 @@ import io
 
 import pytest
 
+from caremesa import registry
 from caremesa.plans import library, reports
 from caremesa.sources.tables import parquet_tables
 from tests.micro import micro_tables
@@ -73,6 +74,23 @@ def test_months_are_taken_whole_and_cut_at_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(ScheduledStartDateTimeUTC,1999-02-01" in telehealth
 
 
+def test_the_registered_hospital_report_has_every_month(spark):
+    days = [dt.datetime(1990, 5, 3), dt.datetime(1995, 6, 7), dt.datetime(2001, 2, 28)]
+    encounters = [
+        {"EncounterID": i, "PatientID": 1, "HospitalID": 1, "DepartmentID": 1, "ProviderID": 1, "AdmissionDateTimeUTC": day}
+        for i, day in enumerate(days)
+    ]
+    claims = [
+        {"ClaimID": i, "PatientID": 1, "PatientCoverageID": 1, "ProviderID": 1, "HospitalID": 1, "ServiceStartDate": day.date()}
+        for i, day in enumerate(days)
+    ]
+    tables = micro_tables(spark, clinical_encounter=encounters, insurance_claim=claims)
+    months = {
+        key: [(r.KPI_Month.year, r.TotalEncounters, r.TotalClaims) for r in registry.REPORTS[key](tables).collect()] for key in ("P03", "P03a")
+    }
+    assert months == {"P03": [(1990, 1, 1), (1995, 1, 1), (2001, 1, 1)], "P03a": [(1995, 1, 1)]}
+
+
 def test_inventory_lists_every_report(spark):
     listed = [r.ReportName for r in library.report_inventory(micro_tables(spark)).collect()]
     assert listed == sorted(reports.REPORTS) and len(listed) == 12
