@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -105,6 +106,8 @@ class Fit:
 DEPTH = 30
 #: Memory for the statistics of the nodes that are split in one pass, in MB: a level takes few passes.
 NODE_MEMORY = 1024
+#: Training rows in one task: with 100 trees a row and its nodes are kept in about 1.5 KB, so a task reads some 150 MB a level.
+TASK_ROWS = 100_000
 
 
 def fit(frame: DataFrame, trees: int = TREES, seed: int = SEED, depth: int = DEPTH) -> Fit:
@@ -115,7 +118,8 @@ def fit(frame: DataFrame, trees: int = TREES, seed: int = SEED, depth: int = DEP
     """
     rows = settled(stratified_split(prepared(frame), seed=seed))
     names = feature_names(rows)
-    filled = rows.agg(*(F.count(name).alias(name) for name in names)).first()
+    trained = F.count(F.when(~c("IsTest"), 1)).alias("_trained")
+    filled = rows.agg(*(F.count(name).alias(name) for name in names), trained).first()
     features = [name for name in names if filled[name] > 0]
     indexer = StringIndexer(inputCol=TARGET, outputCol="label").fit(rows.select(TARGET))
     forest = RandomForestClassifier(numTrees=trees, seed=seed, maxDepth=depth, cacheNodeIds=True, maxMemoryInMB=NODE_MEMORY)
@@ -125,8 +129,9 @@ def fit(frame: DataFrame, trees: int = TREES, seed: int = SEED, depth: int = DEP
         forest,
         IndexToString(inputCol="prediction", outputCol="PredictedLabel", labels=indexer.labels),
     ]
-    # every level is a pass over the rows: all cores take part, and equal keys give equal trees
-    training = rows.where(~c("IsTest")).repartition(rows.sparkSession.sparkContext.defaultParallelism, KEY)
+    # every level is a pass over the rows: all cores take part in tasks of bounded size, and equal keys give equal trees
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(filled["_trained"] / TASK_ROWS))
+    training = rows.where(~c("IsTest")).repartition(tasks, KEY)
     model = Pipeline(stages=stages).fit(training)
     return Fit(model, features, rows.where("IsTest"))
 

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from caremesa.operators import loading, profile, quality, risk_model
 from caremesa.sources import files
@@ -153,3 +154,28 @@ def test_classification_report(spark):
     assert got["accuracy"][0] == round(5 / 7, 4)
     assert got["macro avg"] == (0.4722, 0.5833, 0.5167, 7)
     assert got["weighted avg"][0] == round((0.75 * 4 + 2 / 3 * 2) / 7, 4)
+
+
+def test_training_tasks_are_bounded_in_rows(spark, monkeypatch):
+    monkeypatch.setattr(risk_model, "TASK_ROWS", 20, raising=False)
+    seen = {}
+
+    class Stopped(Exception):
+        pass
+
+    def stop(_, training):
+        seen["sizes"] = training.groupBy(F.spark_partition_id()).count().collect()
+        seen["tasks"] = training.rdd.getNumPartitions()
+        raise Stopped
+
+    monkeypatch.setattr(risk_model.Pipeline, "fit", stop)
+    frame = spark.range(400).selectExpr(
+        "id as PredictionID", "if(id % 2 = 0, 'High Risk', 'Low Risk') as PredictedClass", "cast(id as double) as RiskScore"
+    )
+    with pytest.raises(Stopped):
+        risk_model.fit(frame, trees=2)
+    assert seen["tasks"] == 16 and sum(size["count"] for size in seen["sizes"]) == 320
+    monkeypatch.setattr(risk_model, "TASK_ROWS", 1_000_000, raising=False)
+    with pytest.raises(Stopped):
+        risk_model.fit(frame, trees=2)
+    assert seen["tasks"] == spark.sparkContext.defaultParallelism  # few rows still use every core
