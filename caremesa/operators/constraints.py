@@ -1,16 +1,17 @@
 """Declared rules as distributed checks.
 
 Rules are data and name their columns, so whether a rule can be checked is a comparison of
-column sets. Each family makes one pass over its tables and shares one exchange:
+column sets. Each family makes one pass over its tables, and key rules share one exchange:
 
-* row rules: every row gives one flag per rule; all tables share one grouping by table;
+* row rules: the rules of a table are counted side by side over its rows, without a grouping;
 * unique keys: counts per (rule, 64-bit hash of the key) are combined before the shuffle. Only hashes that
   occur twice are looked at again, on the typed columns, so hashes that collide by chance do no harm;
 * foreign keys of one whole-number column: child and parent keys become bitmaps, one 64-bit word for 64
   neighbouring keys, combined before the shuffle. Child bits without parent bits are the orphan keys. A word costs
   no more than a key, so sparse keys cost no more than a plain list of them. Rows are counted for orphans only;
-* other foreign keys: typed keys are counted before they meet their parents in one anti join for each
-  combination of types.
+* other foreign keys: child and parent keys of one combination of types are hashed into one grouping, without a
+  sort. A bit for each rule and one for the parent tell the orphans. The rows of a key that is the orphan of one rule
+  are counted on the way, only those of keys that are orphans of several rules in a second scan.
 """
 
 from __future__ import annotations
@@ -166,7 +167,7 @@ def _exploded(rows: DataFrame, records: Sequence[str]) -> DataFrame:
 
 
 def check_rows(tables: Tables, rules: Sequence[RowRule], as_of: str) -> DataFrame:
-    """All row rules of a table in one scan, all tables in one grouping.
+    """All row rules of a table in one scan and one row of counts.
 
     Rules that cannot be checked are left out. No rules give no rows.
     """
@@ -175,27 +176,14 @@ def check_rows(tables: Tables, rules: Sequence[RowRule], as_of: str) -> DataFram
     ordered = [rule for mine in by_table.values() for rule in mine]
     if not ordered:
         return _reported(tables, ordered, None)
-    width = max(map(len, by_table.values()))
     frames, first = [], 0
     for table, mine in by_table.items():
         broken = [rule.predicate.replace(":as_of", f"date'{as_of}'") for rule in mine]
-        flags = [f"coalesce(int(not ({predicate})), 0)" for predicate in broken] + ["0"] * (width - len(mine))
-        read = _read_for(tables, table, mine)
-        frames.append(read.selectExpr(f"{first} as first", *(f"{flag} as f{i}" for i, flag in enumerate(flags))))
-        first += len(mine)
-    counts = stack(frames).groupBy("first").agg(*(F.sum(f"f{i}").alias(f"f{i}") for i in range(width)))
-    each = counts.selectExpr("first", f"posexplode(array({', '.join(f'f{i}' for i in range(width))})) as (place, v)")
-    # a table's flags past its own rules have no number
-    numbers = tables.spark.createDataFrame([(i, *own) for i, own in enumerate(_places(by_table))], "rule int, first int, place int")
-    return _reported(tables, ordered, each.join(numbers, ["first", "place"]))
-
-
-def _places(by_table: dict[str, list]) -> Iterable[tuple[int, int]]:
-    """For each rule the number of its table's first rule, and its place among them."""
-    first = 0
-    for mine in by_table.values():
-        yield from ((first, place) for place in range(len(mine)))
+        counts = _read_for(tables, table, mine).agg(*(F.expr(f"count_if(not ({predicate}))").alias(f"f{i}") for i, predicate in enumerate(broken)))
+        each = [f"named_struct('rule', {first + i}, 'v', f{i})" for i in range(len(mine))]
+        frames.append(counts.selectExpr(f"inline(array({', '.join(each)}))"))
         first += len(mine)
+    return _reported(tables, ordered, stack(frames))
 
 
 # -- unique keys ----------------------------------------------------------------
@@ -330,11 +318,26 @@ def _whole_references(tables: Tables, rules: Sequence[ReferenceRule]) -> DataFra
 
 
 def _typed_references(tables: Tables, rules: Sequence[ReferenceRule], types: tuple[str, ...]) -> DataFrame:
+    """The bits of a key's group are its rules, the sign is the parent; hence at most 63 rules at a time."""
+    if len(rules) > 63:
+        return stack([_typed_references(tables, rules[i : i + 63], types) for i in range(0, len(rules), 63)])
     number = {id(rule): i for i, rule in enumerate(rules)}
     keys = [f"k{i}" for i in range(len(types))]
-    counted = _children(tables, rules, number, types).groupBy("rule", *keys).agg(F.count(F.lit(1)).alias("n"))
-    orphans = counted.withColumn("parent", _parent_of(rules)).join(_parents(tables, rules, types), ["parent", *keys], "left_anti")
-    return _reported(tables, rules, orphans.groupBy("rule").agg(F.sum("n").alias("v")))
+    parent = _parent_of(rules).alias("parent")
+    whole = " and ".join(f"{key} is not null" for key in keys)
+    used = _children(tables, rules, number, types).select(parent, *keys, _bit(c("rule").cast("bigint")).alias("bit"), F.lit(1).cast("bigint").alias("n"))
+    known = _parents(tables, rules, types).where(whole).selectExpr("parent", *keys, "shiftleft(1L, 63) as bit", "0L as n")
+    met = used.unionByName(known).groupBy("parent", *keys).agg(F.bit_or("bit").alias("bits"), F.sum("n").alias("n"))
+    orphans = settled(met.where("bits > 0"))
+    alone = F.bit_count("bits") == 1
+    several = orphans.where(~alone).agg(F.bit_or("bits")).first()[0]  # one row
+    single = orphans.where(alone).groupBy("bits").agg(F.sum("n").alias("v")).selectExpr("bit_count(bits - 1) as rule", "v")
+    if several is None:
+        return _reported(tables, rules, single)
+    shared = _children(tables, [rule for i, rule in enumerate(rules) if several >> i & 1], number, types).select("rule", parent, *keys)
+    shared = shared.join(orphans.where(~alone).drop("n"), ["parent", *keys]).where(c("bits").bitwiseAND(_bit(c("rule").cast("bigint"))) != 0)
+    counted = single.unionByName(shared.groupBy("rule").agg(F.count(F.lit(1)).alias("v")))
+    return _reported(tables, rules, counted.groupBy("rule").agg(F.sum("v").alias("v")))
 
 
 def with_status(report: DataFrame) -> DataFrame:

@@ -172,6 +172,24 @@ def test_plans_of_rule_families(spark):
     assert "cast" not in plan(used).replace("as bigint", "").lower() or "as string" not in plan(used)
 
 
+def test_orphans_of_several_rules_without_sorts(spark):
+    """Repeated child keys, orphans of one rule and of several, more rules than a word has bits; no anti join, no grouping of rows."""
+    plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    tables = frame_tables(spark, {
+        "a": spark.createDataFrame([(1, 1), (1, 1), (2, 9), (2, 9), (2, 9), (3, 3), (None, 9), (9, None)], "x int, y bigint"),
+        "b": spark.createDataFrame([(2, 9), (3, 3), (3, 3), (7, 7)], "x bigint, y bigint"),
+        "p": spark.createDataFrame([(1, 1), (1, 1), (7, 8), (None, None), (2, None)], "x bigint, y bigint"),
+    })
+    pair = ("x", "y")
+    listed = [ReferenceRule(f"{child}{i}", child, pair, "p", pair) for i in range(40) for child in "ab"] + [ReferenceRule("ba", "b", pair, "a", pair)]
+    assert counts(constraints.check_references(tables, listed)) == {f"a{i}": 4 for i in range(40)} | {f"b{i}": 4 for i in range(40)} | {"ba": 1}
+    apart = [ReferenceRule("ap", "a", pair, "p", pair), ReferenceRule("bp", "b", pair, "p", pair), ReferenceRule("pa", "p", pair, "a", pair)]
+    report = constraints.check_references(tables, apart)
+    assert counts(report) == {"ap": 4, "bp": 4, "pa": 1} and "LeftAnti" not in plan(report)
+    rows = constraints.check_rows(tables, [RowRule("ax", "a", "x < 3"), RowRule("bx", "b", "x < 3"), RowRule("by", "b", "y < 9")], AS_OF)
+    assert counts(rows) == {"ax": 2, "bx": 3, "by": 1} and "keys=[first" not in plan(rows)
+
+
 # -- register -------------------------------------------------------------------
 
 
