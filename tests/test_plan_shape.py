@@ -45,3 +45,13 @@ def test_child_facts_are_cut_before_they_are_aggregated(spark, key):
     for cut in cuts[-1:]:
         above = [line for line in lines[:cut] if depth(line) < depth(lines[cut])]
         assert any("HashAggregate" in line for line in above)
+
+
+@pytest.mark.parametrize("key", ["V02", "V04", "V05", "V06"])
+def test_names_of_small_dimensions_are_attached_last(spark, key):
+    """Joins by large keys lie below the one that attaches the hospital, so they do not shuffle its name."""
+    lines = QUERIES[key](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    joins = [line for line in lines if "Join " in line]
+    hospital = min(joins, key=depth)
+    assert "HospitalID" in hospital and "LeftOuter" not in hospital  # the children are joined further down
