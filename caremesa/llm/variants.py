@@ -37,8 +37,8 @@ _COLUMN[[ord(letter) for letter in LETTERS]] = range(WIDTH)
 
 #: Words and letters of a cell; visitors of a group; points of a leaf; words on which all upper trees are fitted.
 CELL, CELL_LETTERS, VISITORS, LEAF, SAMPLE = 20_000, 2_000_000, 60_000, 192, 200_000
-#: Sampled words for each cell, if the sample allows; pairs or letters that are compared at once.
-FIT, BLOCK = 32, 4_000_000
+#: Sampled words for each cell, if the sample allows; pairs or letters that are compared at once; visitors that search a tree at once.
+FIT, BLOCK, ASKED = 32, 1_000_000, 8_192
 
 #: How far (up, down) the whole counts and the counts of the first half may lie from those of a visitor.
 SAME, LONGER = (1, 1, 1, 1), (1, 0, 1, 1)
@@ -58,8 +58,8 @@ def letters(words: list[str], length: int) -> np.ndarray:
 
 
 def vectors(codes: np.ndarray, half: int) -> np.ndarray:
-    """Letter counts of each row, then those of its first ``half`` letters."""
-    counts = np.zeros((len(codes), 2 * WIDTH), np.int32)
+    """Letter counts of each row, then those of its first ``half`` letters, in the smallest type that holds the row's length."""
+    counts = np.zeros((len(codes), 2 * WIDTH), np.min_scalar_type(-1 - codes.shape[1]))
     rows = np.arange(len(codes))
     for place in range(codes.shape[1]):
         column = _COLUMN[codes[:, place]]
@@ -69,10 +69,11 @@ def vectors(codes: np.ndarray, half: int) -> np.ndarray:
     return counts
 
 
-def _split(points: np.ndarray) -> tuple[int, int] | None:
-    """The column and cut that halve the points best; whole counts first, None if nothing divides them."""
-    if len(points) > 1024:
-        points = points[:: len(points) // 512]  # a cut moves work only, never results
+def _split(points: np.ndarray, members: np.ndarray) -> tuple[int, int] | None:
+    """The column and cut that halve these members best; whole counts first, None if nothing divides them."""
+    if len(members) > 1024:
+        members = members[:: len(members) // 512]  # a cut moves work only, never results
+    points = points[members]
     middle = np.partition(points, len(points) // 2, axis=0)[len(points) // 2]
     best: tuple[float, int, int] = (0.0, 0, 0)
     for cut in (middle, middle - 1):
@@ -89,7 +90,7 @@ def grow(points: np.ndarray, leaf: int) -> tuple[Node, list[np.ndarray]]:
     leaves: list[np.ndarray] = []
 
     def node(members: np.ndarray) -> Node:
-        cut = _split(points[members]) if len(members) > leaf else None
+        cut = _split(points, members) if len(members) > leaf else None
         if cut:
             low = points[members, cut[0]] <= cut[1]
             if 0 < low.sum() < len(low):
@@ -125,7 +126,7 @@ def reached(tree: Node, points: np.ndarray, limits: tuple[int, ...]) -> Iterator
             yield node, members
             continue
         column, cut, low, high = node
-        value, group = points[members, column], 2 * (column >= WIDTH)
+        value, group = points[members, column].astype(np.int32), 2 * (column >= WIDTH)
         floor, ceiling = box.get(column, (-far, far))
         for child, side, more, bounds in (
             (low, group + 1, np.maximum(value - cut, 0) - np.maximum(value - ceiling, 0), (floor, cut)),
@@ -158,13 +159,12 @@ def pairs(residents: np.ndarray, visitors: np.ndarray) -> Iterator[tuple[np.ndar
     limits = SAME if visitors.shape[1] == length else LONGER
     apart = sum(limits)  # letters up or down by one: squared distance and L1 distance are equal
     held = points[:, used].astype(exact)
-    norms = (held * held).sum(axis=1)
-    most = max(1, BLOCK // (4 * WIDTH))
-    for begin in range(0, len(visitors), most):
-        block = visitors[begin : begin + most]
+    norms = np.einsum("ij,ij->i", held, held)
+    for begin in range(0, len(visitors), ASKED):
+        block = visitors[begin : begin + ASKED]
         asked = vectors(block, half)
         mine = asked[:, used].astype(exact)
-        size = (asked.astype(exact) ** 2).sum(axis=1)
+        size = np.einsum("ij,ij->i", asked, asked, dtype=exact)
         for leaf, members in reached(tree, asked, limits):
             own = leaves[leaf]
             for here in np.array_split(members, 1 + len(members) * len(own) // BLOCK):

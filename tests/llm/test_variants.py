@@ -1,10 +1,12 @@
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from cases import DOCUMENTS, documents
 
@@ -129,3 +131,34 @@ def test_box_search_leaves_nothing_out():
     tree, leaves = variants.grow(points, 10)
     place = variants.home(tree, points)
     assert all((place[leaf] == i).all() for i, leaf in enumerate(leaves)) and sorted(np.concatenate(leaves)) == list(range(len(words)))
+
+
+def test_a_full_group_needs_little_memory():
+    """All the residents and visitors that a group may hold: two workers stand beside an executor's heap."""
+    random.seed(9)
+    own, shorter = (["".join(word) for word in zip(*(random.choices("aeinorst", k=70_000) for _ in range(size)))] for size in (9, 8))
+    own, shorter = list(dict.fromkeys(own)), list(dict.fromkeys(shorter))[: variants.VISITORS // 2]
+    residents, visitors = own[: 2 * variants.CELL], own[: variants.VISITORS // 2] + shorter
+    group = pd.DataFrame({"word": residents + visitors, "n": 3, "visits": [False] * len(residents) + [True] * len(visitors)})
+    assert len(residents) == 2 * variants.CELL and len(visitors) == variants.VISITORS
+    tracemalloc.start()
+    try:
+        found = variants._meet(group)
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+    some = found.groupby("word")["n_near"].sum()
+    for word in random.sample(residents[: len(visitors) // 2], 5):  # also a visitor: that one counts residents, the resident shorter ones
+        assert some.get(word, 0) == sum(near(word, other) for other in residents + shorter)
+
+
+@pytest.mark.parametrize("length", [5, 127, 128, 40_000])
+def test_counts_of_long_words_fit_their_type(length):
+    codes = variants.letters(["a" * length, "ab" * (length // 2) + "a" * (length % 2)], length)
+    counts = variants.vectors(codes, length // 2)
+    assert counts[0, 0] == length and counts[0, variants.WIDTH] == length // 2
+    assert counts[1, 0] + counts[1, 1] == length and (counts >= 0).all()
+    found = [(int(r), int(v)) for rs, vs in variants.pairs(codes[:1], variants.letters(["a" * (length - 1) + "b", "b" * length], length)) for r, v in zip(rs, vs)]
+    assert found == [(0, 0)]
+    found = [(int(r), int(v)) for rs, vs in variants.pairs(codes[:1], variants.letters(["a" * (length - 1), "b" * (length - 1)], length - 1)) for r, v in zip(rs, vs)]
+    assert found == [(0, 0)]
